@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import cutoffs, leaks, lookalikes, reading, repetition
+from docloom.llm import cutoffs, encodings, leaks, lookalikes, reading, repetition
 from docloom.session import table
 
 
@@ -17,6 +17,14 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return a.select(F.lit("extracted_docs").alias("rec_table"), "id_a", "id_b").unionByName(b.select(F.lit("segments").alias("rec_table"), "id_a", "id_b"))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return encodings.garbled(table(spark, d, "extracted_docs"))
+
+
+def p4_restored(spark: SparkSession, d: str) -> DataFrame:
+    return encodings.restored(table(spark, d, "extracted_docs"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repetitive(table(spark, d, "extracted_docs"), "ext_id", "markdown")
 
@@ -63,7 +71,7 @@ c AS (SELECT source, extract_backend, keep_percent, any_value(n) n_scored,
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p5_found, p5_repetition, p7_found, p7_cutoffs, p9_found, p9_leak_report, p10_found, p10_levels)}
+    return {f.__name__: f for f in (p3_found, p4_found, p4_restored, p5_found, p5_repetition, p7_found, p7_cutoffs, p9_found, p9_leak_report, p10_found, p10_levels)}
 
 
 def oracle_sql() -> dict[str, str]:
