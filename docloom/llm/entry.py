@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import cutoffs, encodings, leaks, lookalikes, reading, repetition
+from docloom.llm import cutoffs, encodings, leaks, lookalikes, quality, reading, repetition
 from docloom.session import table
 
 
@@ -33,6 +33,18 @@ def p5_repetition(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repetition(table(spark, d, "extracted_docs"), "ext_id", "markdown")
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return quality.kinds(table(spark, d, "extracted_docs"), table(spark, d, "doc_results"))
+
+
+def p6_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return quality.statistics(table(spark, d, "extracted_docs"))
+
+
+def p6_miscounted(spark: SparkSession, d: str) -> DataFrame:
+    return quality.miscounted(table(spark, d, "extracted_docs"), table(spark, d, "doc_results"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return cutoffs.kept_results(table(spark, d, "doc_results"), table(spark, d, "keep_targets"))
 
@@ -71,11 +83,13 @@ c AS (SELECT source, extract_backend, keep_percent, any_value(n) n_scored,
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p4_found, p4_restored, p5_found, p5_repetition, p7_found, p7_cutoffs, p9_found, p9_leak_report, p10_found, p10_levels)}
+    return {f.__name__: f for f in (p3_found, p4_found, p4_restored, p5_found, p5_repetition, p6_found, p6_statistics, p6_miscounted, p7_found, p7_cutoffs, p9_found, p9_leak_report, p10_found, p10_levels)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "p6_miscounted": """SELECT DISTINCT ext_id FROM extracted_docs e JOIN doc_results d ON e.sha256 = d.sha256 AND e.backend = d.extract_backend
+            WHERE length(coalesce(markdown, '')) <> coalesce(markdown_chars, 0)""",
         "p7_found": _KEPT + "SELECT DISTINCT result_id FROM r JOIN c USING (source, extract_backend) WHERE quality_score >= cutoff",
         "p7_cutoffs": _KEPT + "SELECT source, extract_backend, c.keep_percent, c.n_scored, cutoff, count(*) n_kept FROM r JOIN c USING (source, extract_backend) WHERE quality_score >= cutoff GROUP BY ALL",
     }
