@@ -7,10 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import cutoffs, encodings, leaks, lookalikes, quality, reading, repetition
+from docloom.llm import cutoffs, encodings, leaks, lookalikes, quality, reading, repetition, scans
 from docloom.session import table
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "extracted_docs")
+    pages = spark.sparkContext.broadcast(scans.fit(docs))
+    a = scans.noisy(docs, "ext_id", "markdown", pages).select(F.lit("extracted_docs").alias("rec_table"), F.col("ext_id").alias("rec_id"))
+    b = scans.noisy(table(spark, d, "segments"), "seg_id", "content", pages).select(F.lit("segments").alias("rec_table"), F.col("seg_id").alias("rec_id"))
+    return a.unionByName(b)
+
+
+def p2_mended(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "extracted_docs")
+    return scans.mended_records(docs, "ext_id", "markdown", spark.sparkContext.broadcast(scans.fit(docs)))
+
+
+def p2_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    return scans.paragraphs(table(spark, d, "segments"), spark.sparkContext.broadcast(scans.fit(table(spark, d, "extracted_docs"))))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     a = lookalikes.same_looking_pairs(table(spark, d, "extracted_docs"), "ext_id", "markdown")
     b = lookalikes.same_looking_pairs(table(spark, d, "segments"), "seg_id", "content")
@@ -83,7 +100,7 @@ c AS (SELECT source, extract_backend, keep_percent, any_value(n) n_scored,
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p4_found, p4_restored, p5_found, p5_repetition, p6_found, p6_statistics, p6_miscounted, p7_found, p7_cutoffs, p9_found, p9_leak_report, p10_found, p10_levels)}
+    return {f.__name__: f for f in (p2_found, p2_mended, p2_paragraphs, p3_found, p4_found, p4_restored, p5_found, p5_repetition, p6_found, p6_statistics, p6_miscounted, p7_found, p7_cutoffs, p9_found, p9_leak_report, p10_found, p10_levels)}
 
 
 def oracle_sql() -> dict[str, str]:
