@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import cutoffs, encodings, leaks, lookalikes, quality, reading, repetition, scans
+from docloom.llm import cutoffs, encodings, langid, leaks, lookalikes, quality, reading, repetition, scans
 from docloom.session import table
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return langid.wrong_labels(table(spark, d, "extracted_docs"))
+
+
+def p1_languages(spark: SparkSession, d: str) -> DataFrame:
+    return langid.languages(table(spark, d, "extracted_docs"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "extracted_docs")
     pages = spark.sparkContext.broadcast(scans.fit(docs))
@@ -100,7 +108,7 @@ c AS (SELECT source, extract_backend, keep_percent, any_value(n) n_scored,
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_mended, p2_paragraphs, p3_found, p4_found, p4_restored, p5_found, p5_repetition, p6_found, p6_statistics, p6_miscounted, p7_found, p7_cutoffs, p9_found, p9_leak_report, p10_found, p10_levels)}
+    return {f.__name__: f for f in (p1_found, p1_languages, p2_found, p2_mended, p2_paragraphs, p3_found, p4_found, p4_restored, p5_found, p5_repetition, p6_found, p6_statistics, p6_miscounted, p7_found, p7_cutoffs, p9_found, p9_leak_report, p10_found, p10_levels)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -88,35 +88,45 @@ def one_form(text: str) -> str:
     return clusters.sub(lambda m: unicodedata.normalize("NFC", m[0]), text) if clusters.search(text) else text
 
 
-_SCRIPT = {c: k for k, (olds, _) in LOOKALIKES.items() for c in olds}
-_WORD = re.compile(r"[^\W\d_]+")
+_ALIKE = "".join(olds for olds, _ in LOOKALIKES.values())
+_MIXED = re.compile(f"[^\\W\\d_]*(?:[A-Za-z][{_ALIKE}]|[{_ALIKE}][A-Za-z])[^\\W\\d_]*")
+_MEETS = re.compile(f"[A-Za-z][{_ALIKE}]|[{_ALIKE}][A-Za-z]")
+_ALONE = re.compile(f"(?<![^\\W_])[{_ALIKE}]+(?![^\\W_])")
+_FOREIGN = re.compile(f"(?![{_ALIKE}])[Ͱ-ԯ]")
+
+
+@lru_cache(maxsize=1)
+def _plain() -> tuple[dict[int, str], re.Pattern]:
+    """The transducer without the look-alikes' rules, and a pattern that finds whether it has anything to do."""
+    single, _ = compiled()
+    alike = set(_ALIKE)
+    rules = {k: v for k, v in single.items() if v != chr(k) and unicodedata.normalize("NFD", chr(k))[0] not in alike}
+    spans: list[list[int]] = []
+    for k in sorted([*rules, *range(0x300, 0x370)]):
+        if spans and k == spans[-1][1] + 1:
+            spans[-1][1] = k
+        else:
+            spans.append([k, k])
+    return rules, re.compile("[" + "".join(re.escape(chr(a)) + "-" + re.escape(chr(b)) for a, b in spans) + "]")
 
 
 def readable(text: str) -> str:
-    """As ``one_form``, but a word keeps its script's letters if it has any letter that is not a look-alike of another's.
+    """As ``one_form``, but look-alike letters change only within words that hold Latin letters, or where no word is of their script.
 
     For texts that people or models read on; ``one_form`` is the form to compare by.
     """
     if text.isascii():
         return text
-    single, clusters = compiled()
-    keep = {ord(c) for c in _SCRIPT}
-    text = unicodedata.normalize("NFC", text.translate({k: v for k, v in _plain().items()}))
-
-    def word(m: re.Match) -> str:
-        w = m[0]
-        if w.isascii() or not any(ord(c) in keep for c in w):
-            return w
-        foreign = any(not c.isascii() and ord(c) not in keep and ("GREEK" in (n := unicodedata.name(c, "")) or "CYRILLIC" in n or "ARMENIAN" in n) for c in w)
-        return w if foreign and not re.search("[A-Za-z]", w) else w.translate(single)
-
-    return _WORD.sub(word, text)
-
-
-@lru_cache(maxsize=1)
-def _plain() -> dict[int, str]:
+    rules, odd = _plain()
+    if odd.search(text):
+        text = unicodedata.normalize("NFC", text.translate(rules))
     single, _ = compiled()
-    return {k: v for k, v in single.items() if chr(k) not in _SCRIPT and not unicodedata.normalize("NFD", chr(k))[0] in _SCRIPT}
+    change = lambda m: m[0].translate(single)
+    if _MEETS.search(text):
+        text = _MIXED.sub(change, text)
+    if _ALONE.search(text) and len(_FOREIGN.findall(text)) < 5:
+        text = _ALONE.sub(change, text)
+    return text
 
 
 def forms(docs: DataFrame, key: str, text: str) -> DataFrame:

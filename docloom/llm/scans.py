@@ -96,7 +96,7 @@ class Words:
                         mates[s] = (w, n)
                 if n > best.get(w, (0, ""))[0]:
                     best[w] = (n, lang)
-        self.home = {w: lang for w, (n, lang) in best.items() if n >= PART}
+        self.home = {w: lang for w, (n, lang) in best.items() if n >= PART and len(w) > 1 and w.isalpha()}
 
     def judge(self, token: str, lang: str) -> tuple[str, str] | None:
         """('misread', word), ('name', word) where that may be a name instead, ('glued', words) or None."""
