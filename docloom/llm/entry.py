@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import cutoffs, encodings, langid, leaks, lookalikes, quality, reading, repetition, scans
+from docloom.llm import cutoffs, encodings, langid, leaks, lookalikes, packing, quality, reading, repetition, scans
 from docloom.session import table
 
 
@@ -78,6 +78,14 @@ def p7_cutoffs(spark: SparkSession, d: str) -> DataFrame:
     return cutoffs.cutoffs(table(spark, d, "doc_results"), table(spark, d, "keep_targets"))
 
 
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packed(table(spark, d, "documents"), table(spark, d, "pack_bins"))
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    return packing.report(table(spark, d, "documents"), table(spark, d, "pack_bins"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaked(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
@@ -108,7 +116,7 @@ c AS (SELECT source, extract_backend, keep_percent, any_value(n) n_scored,
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_languages, p2_found, p2_mended, p2_paragraphs, p3_found, p4_found, p4_restored, p5_found, p5_repetition, p6_found, p6_statistics, p6_miscounted, p7_found, p7_cutoffs, p9_found, p9_leak_report, p10_found, p10_levels)}
+    return {f.__name__: f for f in (p1_found, p1_languages, p2_found, p2_mended, p2_paragraphs, p3_found, p4_found, p4_restored, p5_found, p5_repetition, p6_found, p6_statistics, p6_miscounted, p7_found, p7_cutoffs, p8_packed, p8_report, p9_found, p9_leak_report, p10_found, p10_levels)}
 
 
 def oracle_sql() -> dict[str, str]:
