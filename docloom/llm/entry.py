@@ -104,7 +104,7 @@ def p10_levels(spark: SparkSession, d: str) -> DataFrame:
 
 _KEPT = """
 WITH s AS (SELECT DISTINCT result_id, source, extract_backend, quality_score FROM doc_results
-           WHERE quality_score IS NOT NULL AND NOT isnan(quality_score)),
+           WHERE quality_score IS NOT NULL AND quality_score::VARCHAR <> 'nan'),
 t AS (SELECT source, extract_backend, greatest(0, least(100, max(keep_percent)))::INTEGER keep_percent FROM keep_targets
       WHERE keep_percent IS NOT NULL AND source IS NOT NULL AND extract_backend IS NOT NULL GROUP BY ALL),
 r AS (SELECT s.*, keep_percent, count(*) OVER g n, count(*) OVER (PARTITION BY source, extract_backend ORDER BY quality_score DESC
