@@ -22,7 +22,7 @@ PII = {
 
 def luhn(digits: Column) -> Column:
     """Whether a string of digits has a valid check digit."""
-    d = F.transform(F.reverse(F.split(digits, "(?!^)")), lambda x, i: F.when(i % 2 == 0, x.cast("int")).otherwise(F.when(x.cast("int") > 4, x.cast("int") * 2 - 9).otherwise(x.cast("int") * 2)))
+    d = F.transform(F.reverse(F.filter(F.split(digits, ""), lambda x: x != "")), lambda x, i: F.when(i % 2 == 0, x.cast("int")).otherwise(F.when(x.cast("int") > 4, x.cast("int") * 2 - 9).otherwise(x.cast("int") * 2)))
     return F.aggregate(d, F.lit(0), lambda a, x: a + x) % 10 == 0
 
 

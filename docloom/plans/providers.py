@@ -15,25 +15,26 @@ REGISTRY: dict[str, Callable[[], Callable]] = {}
 
 
 def register(name: str):
-    def keep(factory):
-        REGISTRY[name] = factory
-        return factory
+    def keep(make):
+        REGISTRY[name] = make
+        return make
 
     return keep
 
 
-def create(name: str) -> Callable:
+def factory(name: str) -> Callable[[], Callable]:
+    """The registered factory itself: it travels to the workers, whose registries are empty."""
     if name not in REGISTRY:
         raise ValueError(f"unknown provider {name!r}; there are {', '.join(sorted(REGISTRY))}")
-    return REGISTRY[name]()
+    return REGISTRY[name]
 
 
-def scorer(factory: Callable[[], Callable[[list[str]], list[float]]], most: int = 10_000) -> Callable[[Column], Column]:
+def scorer(make: Callable[[], Callable[[list[str]], list[float]]], most: int = 10_000) -> Callable[[Column], Column]:
     """A text scorer as a column function: blank texts score 0 without a call, others in batches, cut at ``most`` characters, clamped to [0, 3]."""
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = factory()
+        model = make()
         for texts in batches:
             full = texts.fillna("").str.strip()
             out = pd.Series(0.0, index=texts.index)
@@ -45,13 +46,13 @@ def scorer(factory: Callable[[], Callable[[list[str]], list[float]]], most: int
     return lambda c: score(c)
 
 
-def router(factory: Callable[[], Callable[[pd.DataFrame], pd.Series]]) -> Callable[[], Column]:
+def router(make: Callable[[], Callable[[pd.DataFrame], pd.Series]]) -> Callable[[], Column]:
     """A router model over all columns of ``vector_columns()`` as one call a batch."""
     names = vector_columns()
 
     @F.pandas_udf("double")
     def prob(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-        model = factory()
+        model = make()
         for frame in batches:
             frame.columns = names
             yield pd.Series(model(frame)).astype(float)
@@ -59,7 +60,7 @@ def router(factory: Callable[[], Callable[[pd.DataFrame], pd.Series]]) -> Callab
     return lambda: prob(F.struct(*(F.col(n) for n in names)))
 
 
-def parser(documents: DataFrame, factory: Callable[[], Callable[[bytes], list[dict]]], schema: str, key: str = "sha256", content: str = "content") -> DataFrame:
+def parser(documents: DataFrame, make: Callable[[], Callable[[bytes], list[dict]]], schema: str, key: str = "sha256", content: str = "content") -> DataFrame:
     """Documents to segments by a parser of bytes: rows of ``schema`` (that begins with the key and ends with error string).
 
     A document that a parser can't read gives one row with its error text and never fails the job.
@@ -67,7 +68,7 @@ def parser(documents: DataFrame, factory: Callable[[], Callable[[bytes], list[di
     names = [part.strip().split()[0] for part in schema.split(",")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parse = factory()
+        parse = make()
         for frame in batches:
             rows = []
             for k, blob in zip(frame[key], frame[content], strict=True):
@@ -75,6 +76,6 @@ def parser(documents: DataFrame, factory: Callable[[], Callable[[bytes], list[di
                     rows += [{key: k, "error": None} | r for r in parse(blob)]
                 except Exception as e:  # noqa: BLE001
                     rows.append({key: k, "error": f"{type(e).__name__}: {e}"[:500]})
-            yield pd.DataFrame(rows, columns=names)
+            yield pd.DataFrame(rows, columns=names, dtype=object)
 
     return documents.select(key, content).mapInPandas(run, schema)
