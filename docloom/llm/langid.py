@@ -110,18 +110,16 @@ class Models:
         m = len(self.languages)
         raws = [encode(texts[lang]) for lang in self.languages]
         self.tables: list[Table] = []
+        self.contexts: list[Table] = []
         self.costs: list[np.ndarray] = []
         self.escapes: list[np.ndarray] = []
-        for k in range(ORDER + 1):
+        for k in range(ORDER + 1 if m else 0):
             seen = []
             for own in raws:
                 seen.append(np.unique(_grams(*own, k + 1), return_counts=True))
             keys = np.unique(np.concatenate([g for g, _ in seen]))
             contexts = np.unique(keys >> np.uint64(8))
-            if k == 0:
-                escape = np.zeros((1, m), np.float32)
-            else:  # contexts of k bytes are the keys one order below
-                escape = np.zeros((len(self.tables[k - 1].keys), m), np.float32)
+            escape = np.zeros((len(contexts), m), np.float32)
             cost = self._below(keys, k)
             own_context = np.searchsorted(contexts, keys >> np.uint64(8))
             for j, (grams, counts) in enumerate(seen):
@@ -132,11 +130,8 @@ class Models:
                 bits[known] = -np.log2(kinds[known] / (total[known] + kinds[known]))
                 cost[:, j] += bits[own_context]
                 cost[np.searchsorted(keys, grams), j] = -np.log2(counts / (total[at] + kinds[at]))
-                if k:
-                    rows = self.tables[k - 1].find(contexts)
-                    escape[rows[rows >= 0], j] = bits[rows >= 0]
-                else:
-                    escape[0, j] = bits[0] if len(bits) else 0
+                escape[:, j] = bits
+            self.contexts.append(Table(contexts))
             self.tables.append(Table(keys))
             self.costs.append(cost)
             self.escapes.append(escape)
@@ -158,12 +153,12 @@ class Models:
             at, keys = at[~hit], keys[~hit]
             if not len(at):
                 break
-            if k == 0:
-                out[at] += self.escapes[0][0] + 8.0
-                break
-            context = self.tables[k - 1].find(keys >> np.uint64(8))
+            context = self.contexts[k].find(keys >> np.uint64(8))
             there = context >= 0
             out[at[there]] += self.escapes[k][context[there]]
+            if k == 0:
+                out[at] += 8.0
+                break
             keys = keys & np.uint64((1 << 8 * k) - 1)
             k -= 1
         return out

@@ -38,7 +38,11 @@ def _rules() -> dict[str, str]:
         if rules.setdefault(c, form) != form:
             raise ConflictError(f"U+{ord(c):04X}: {rules[c]!r} and {form!r}")
 
-    letters = {c: form for olds, news in LOOKALIKES.values() for c, form in zip(olds, news, strict=True)}
+    letters: dict[str, str] = {}
+    for olds, news in LOOKALIKES.values():
+        for c, form in zip(olds, news, strict=True):
+            if letters.setdefault(c, form) != form:
+                raise ConflictError(f"U+{ord(c):04X}: {letters[c]!r} and {form!r}")
     for point in range(0x80, sys.maxunicode + 1):
         c = chr(point)
         category = unicodedata.category(c)

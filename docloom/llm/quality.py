@@ -198,11 +198,11 @@ def measure(text: str, common: frozenset, before: str = "", after: str = "") ->
     return s
 
 
-_SAFE = re.compile(r"[^\W\d_] (?=[^\W\d_])")
+_SAFE = re.compile(r"\w (?=\S)")
 
 
 def cut(text: str, size: int = CHUNK) -> list[int]:
-    """Borders of a text's chunks: at a line's start, else between two plain words, else, in text without any, anywhere."""
+    """Borders of a text's chunks: at a line's start, else after a word and one space, else, in text without any, anywhere."""
     at = [0]
     while len(text) - at[-1] > size:
         low, high = at[-1] + size // 2, at[-1] + size
