@@ -13,6 +13,7 @@ from docloom.llm.batches import map_texts
 #: A repeated run counts from so many words on; a record is repetitive from such a share on.
 MIN_RUN, MIN_SHARE = 5, 0.3
 
+_SIGNS = re.compile(r"[^\w\s]+")
 _MARKUP = re.compile(r"<[^<>\n]{1,40}>")
 #: Han text has no word spaces: each character is half a word.
 _WORD = re.compile(r"[㐀-鿿]|[^\W_㐀-鿿]+")
@@ -60,7 +61,8 @@ def measure(texts: list[str]) -> dict[str, np.ndarray]:
     for i, text in enumerate(texts):
         if "<" in text:
             text = _MARKUP.sub(" ", text)
-        found = _WORD.findall(text.lower())
+        # signs go without a gap: they don't divide a word, also not the signs of wrongly decoded words
+        found = _WORD.findall(_SIGNS.sub("", text).lower())
         # a token of its own ends each document: no repeat crosses a border
         docs.append(np.full(len(found) + 1, i, np.int64))
         words.append(np.fromiter((ids.setdefault(w, len(ids)) for w in [*found, i]), np.int64, len(found) + 1))

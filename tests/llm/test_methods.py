@@ -202,7 +202,7 @@ def test_clean_and_lost_text(model):
 
 
 def brute_repetition(text):
-    w = repetition._WORD.findall(repetition._MARKUP.sub(" ", text).lower())
+    w = repetition._WORD.findall(repetition._SIGNS.sub("", repetition._MARKUP.sub(" ", text)).lower())
     weight = [1 if "㐀" <= x[0] <= "鿿" else 2 for x in w]
     covered, seen, n = [0] * len(w), set(), len(w)
     for i in range(n):
