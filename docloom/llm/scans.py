@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docloom.llm.batches import map_texts
 from docloom.llm.languages import code
+from docloom.session import cut_lineage
 
 #: A form is a misreading of a word with its skeleton that is so many times as frequent in the language (and at least so frequent).
 RATIO, MATE = 25, 40
@@ -19,6 +20,10 @@ PART, PART_SHARE = 12, 2e-5
 MIN_COUNT, MIN_SHARE = 2, 1e-7
 #: A header's masked form stands in at least so many records (and this share of them), so often on its own.
 HEADER_COUNT, HEADER_SHARE, HEADER_ALONE = 4, 2e-4, 0.25
+#: A word with less than this share of its uses in one language is a name; a word in this share of all short lines by themselves is part of headers.
+NAME_SHARE, HEAD_SHARE = 0.6, 0.01
+#: Keys of the counts of lower-case uses and of words in short lines by themselves, beside those of languages.
+LOWER, HEADS = "_", "^"
 
 #: Glyphs that scanning confuses, written as the sign of their class; pairs read as one glyph come first.
 PAIRS = (("rn", "m"), ("vv", "w"), ("cl", "d"), ("ii", "ü"))
@@ -28,6 +33,7 @@ DIGITS = (str.maketrans("01569", "olsbg"), str.maketrans("0158", "oisb"))
 
 _HYPHEN = "-‐¬­"
 _PLAIN = re.compile("[A-Za-zß-öø-ÿÀ-ÖØ-ÞĀ-ž0-9]+|[Ά-ώ0-9]+|[А-яЁё0-9]+")
+_LATIN = re.compile("[a-zß-öø-ÿĀ-ž]+")
 _EDGES = "\"'`.,;:!?()[]{}<>“”‘’„‚«»…*#_~|·•–—/"
 _ENDED = re.compile(r"[.!?…。？！][\"”’»)\]]*\s*$")
 _MARKED = re.compile(r"\s*(?:[-*+•–—·▪◦‣o](?:\s+\[[ xX]\])?|\(?\d{1,3}[.)]|\(?[a-zA-Z][.)])\s")
@@ -81,6 +87,8 @@ class Words:
     """Frequent words of each language, by form and by skeleton."""
 
     def __init__(self, counts: dict[str, Counter]):
+        counts = dict(counts)
+        lower, heads = counts.pop(LOWER, Counter()), counts.pop(HEADS, Counter())
         self.counts = {lang: c for lang, c in counts.items() if c}
         self.part = {lang: max(PART, PART_SHARE * sum(c.values())) for lang, c in self.counts.items()}
         self.mates: dict[str, dict[str, tuple[str, int]]] = {}
@@ -97,6 +105,17 @@ class Words:
                 if n > best.get(w, (0, ""))[0]:
                     best[w] = (n, lang)
         self.home = {w: lang for w, (n, lang) in best.items() if n >= PART and len(w) > 1 and w.isalpha()}
+        # names stand in texts of all languages, and never in lower case; words that many headers share are kept
+        own = {w for w in self.home if 2 * lower[w] >= self.total[w] or best[w][0] >= NAME_SHARE * self.total[w]}
+        self.literal = own | {w for w, n in heads.items() if n >= max(HEADER_COUNT, HEAD_SHARE * heads[""])}
+
+    def near(self, word: str) -> str:
+        """Language of the frequent word that an unknown one is likely misread from; '' if there is none."""
+        if len(word) < 4 or len(set(word)) < 3 or word in self.home or word.isdigit():
+            return ""
+        s = skeleton(word)
+        found = [(m[s][1], lang) for lang, m in self.mates.items() if s in m]
+        return max(found)[1] if found else ""
 
     def judge(self, token: str, lang: str) -> tuple[str, str] | None:
         """('misread', word), ('name', word) where that may be a name instead, ('glued', words) or None."""
@@ -105,12 +124,18 @@ class Words:
         own, mate = c[low], self.mates[lang].get(skeleton(low))
         if any(x.isdigit() for x in token):
             return None if low.isdigit() else self._digits(low, own, mate, c, part)
-        if (self.total[low] - own) * 4 >= own + 2:  # a word of another language, or a name, which all languages have
-            return None
         capital = token[0].isupper()
-        if mate and mate[0] != low and mate[1] >= RATIO * (own + 1) and len(low) > 1 + capital:
+        # all languages' uses count: a word of another language is no misreading
+        other = self.home.get(low, lang)
+        if other != lang and self.counts[other][low] >= 10 * self.part[other]:
+            return None
+        if mate and mate[0] != low and mate[1] >= RATIO * (own + 1) and self.total[mate[0]] >= RATIO * self.total[low] and len(low) > 1 + capital:
             return "name" if capital and (lang != "de" or len(low) < 7) else "misread", mate[0]
+        if (self.total[low] - own) * 4 >= own + 2:  # a word of another language, or a name, which all languages have
+            return None
         if own * 4 < part and len(low) > 4:
+            if capital and c[low[0]] >= 30 * part and c[low[1:]] >= 4 * part and not self.total[low]:
+                return "glued", f"{token[0]} {token[1:]}"
             for i in range(3 if capital else 1, len(low) - 1):
                 short = min(i, len(low) - i)
                 least = part * (30 if short < 3 else 4 if capital else 1)
@@ -134,18 +159,21 @@ class Words:
         return None
 
 
-def mask(line: str, home: dict, mates: dict | None = None) -> str:
-    """A line with numbers as # and unfrequent words as @, or as the word of ``mates`` that has their skeleton."""
+def mask(line: str, literal: set) -> str:
+    """A line with numbers as # and words that are no part of headers or language as @; the others as they are."""
 
     def one(m: re.Match) -> str:
-        w = m[0].lower()
-        if w.isdigit():
-            return "#"
-        return w if w in home else mates.get(skeleton(w), "@") if mates else "@"
+        return "#" if m[0].isdigit() else m[0] if m[0].lower() in literal else "@"
 
     return re.sub(r"[^\W_]+", one, line.strip())
 
 
+def _form_pattern(form: str) -> str:
+    """A pattern for lines of a masked form: any capitalized word for @, a number (or part of one misread) for #."""
+    parts = re.split(r"([@#])", re.sub(r"^#\s+|\s+#$", "", form))
+    return "".join({"@": r"(?:[^\W\d_a-zß-ÿ]|[\dl])[^\W_]*", "#": _N}.get(x, re.escape(x)) for x in parts)
+
+
 def _header_like(line: str) -> bool:
     return 8 <= len(line) <= 60 and line.count(" ") <= 8 and bool(_HEADER_SIGNS.fullmatch(line)) and (line.isupper() or not _ENDED.search(line)) and not _MARKED.match(line)
 
@@ -156,18 +184,26 @@ class Pages:
     def __init__(self, words: Words, headers: frozenset):
         self.words, self.headers = words, headers
         home = words.home
-        self.mates = {skeleton(w): w for form in headers for w in _WORD.findall(form)}
+        forms = sorted({_form_pattern(f) for f in headers})
+        self.own = {skeleton(w): w for form in headers for w in _WORD.findall(form)}
+        self.inline = re.compile("(?<!\\S)(?:" + "|".join(forms) + ")(?!\\S)" if forms else "(?!)")
+        self.line = re.compile(rf"(?:{_N}\s+)?(?:{'|'.join(forms)})(?:\s+{_N})?" if forms else "(?!)")
         self.homes = _Memo(lambda raw: home.get(bare(raw).lower(), "" if bare(raw) and not bare(raw).isdigit() else None))
+        self.near = _Memo(lambda raw: words.near(bare(raw).lower()))
         self.verdicts = {lang: _Memo(lambda raw, lang=lang: words.judge(bare(raw), lang) if bare(raw) else None) for lang in words.counts}
 
     def __reduce__(self):
         return Pages, (self.words, self.headers)
 
     def header(self, line: str) -> bool:
+        """Whether a line has a header's form, its fixed words perhaps misread."""
         if not _header_like(line):
             return False
-        forms = [mask(line, self.words.home), mask(line, self.words.home, self.mates)]
-        return any(f in self.headers or re.sub(r"^#\s+|\s+#$", "", f) in self.headers for f in forms)
+        line = line.strip()
+        if self.line.fullmatch(line):
+            return True
+        mended = re.sub(r"[^\W_]+", lambda m: self.own.get(skeleton(m[0]), m[0]), line)
+        return mended != line and self.line.fullmatch(mended) is not None
 
     def traces(self, text: str, first: bool = False) -> list[tuple[str, str, str]]:
         """(kind, as seen, mended) of each trace; with ``first``, only until there is one."""
@@ -199,9 +235,16 @@ class Pages:
                 return []
         homes = Counter(map(self.homes.__getitem__, block.split()))
         del homes[None]
-        unknown, known = homes.pop("", 0), sum(homes.values())
-        if known < 2 or known * 2 < unknown:
-            return None  # junk, formulas, wrongly decoded text
+        unknown = homes.pop("", 0)
+        known = sum(homes.values())
+        if known < 2 or known * 2 < unknown:  # misread throughout, or junk, formulas, wrongly decoded text
+            near = Counter(map(self.near.__getitem__, block.split()))
+            near.pop("", None)
+            homes.update(near)
+            near_known = sum(homes.values())
+            if near_known < 3 or near_known * 2 < unknown + known:
+                return None
+            known = near_known
         lang = max(homes, key=lambda k: (homes[k], k))
         kinds = [""] * len(lines)
         if len(lines) > 1:
@@ -222,13 +265,16 @@ class Pages:
             found.append(("divided", prose[-12:], ""))
         if first and len(found) > before:
             return kept
+        found.extend(("header", m[0], "") for m in self.inline.finditer(prose))
         counts, part = self.words.counts[lang], self.words.part[lang]
         if len(kept) > 1:
             found.extend(("divided", m[0], m[1] + m[2]) for m in _DIVIDED.finditer(prose))
         if any(h in prose for h in _HYPHEN):
             for m in _DIVIDED_LOST.finditer(prose):
                 a, b, hyphen = m[1].lower(), m[3].lower(), m[2]
-                if counts[a + b] >= part and (" " in hyphen or "\xad" not in hyphen) and not (counts[a] >= 10 * part and counts[b] >= 10 * part):
+                whole = counts[a + b] >= part and (" " in hyphen or "\xad" not in hyphen) and not (counts[a] >= 10 * part and counts[b] >= 10 * part)
+                cut = " " in hyphen and hyphen[0] != "\xad" and len(a) > 1 and counts[a] < part and m[3][0].islower() and _LATIN.fullmatch(a + b)
+                if whole or cut:
                     found.append(("divided", m[0], m[1] + m[3]))
         tokens = prose.split()
         if sum(len(t) == 1 for t in tokens) > 2:
@@ -242,7 +288,7 @@ class Pages:
         if any(verdicts):
             start = True
             for raw, verdict in zip(tokens, verdicts, strict=True):
-                if verdict and (verdict[0] != "name" or not self.words.total[bare(raw).lower()] and (start and counts[verdict[1]] >= 10 * MATE or lang == "de" and len(found) > before)):
+                if verdict and (verdict[0] != "name" or counts[verdict[1]] >= 10 * MATE * (self.words.total[bare(raw).lower()] + 1) and (start or lang == "de" and len(found) > before)):
                     found.append(("misread" if verdict[0] == "name" else verdict[0], raw, verdict[1]))
                     if first:
                         return kept
@@ -252,7 +298,7 @@ class Pages:
 
 def _apart(line: str) -> bool:
     """Whether a line is a heading, list item, table row or formula."""
-    return line.lstrip().startswith(("#", "**", "|", "<t", "$$", "\\")) or "\t" in line.strip() or "<td" in line or line.count("   ") > 1 or line.count(";") > 1 and bool(_FIELDS.search(line)) or bool(_MARKED.match(line))
+    return line.lstrip().startswith(("#", "**", "|", "<t", "$$", "\\")) or "\t" in line.strip() or "<td" in line or line.count("   ") > 1 and not _sentence([line]) or line.count(";") > 1 and bool(_FIELDS.search(line)) or bool(_MARKED.match(line))
 
 
 def _sentence(lines: list[str]) -> bool:
@@ -284,6 +330,8 @@ def _flow(lines: list[str], found: list[tuple[str, str, str]]) -> str:
     for kind, seen, mended in found:
         if kind in ("spaced", "speck"):
             text = text.replace(seen.replace("\n", " "), mended)
+        elif kind == "header" and seen not in lines:
+            text = text.replace(seen.replace("\n", " "), "")
         elif kind == "divided" and mended and "\n" not in seen:
             text = text.replace(seen, mended)
         elif kind in ("misread", "glued"):
@@ -354,18 +402,44 @@ def paragraphs(segments: DataFrame, pages) -> DataFrame:
     return begun.withColumn("para_id", F.coalesce(F.when(kept.isNotNull(), F.last("head", ignorenulls=True).over(order)), F.col("seg_id"))).where("NOT ghost").select("seg_id", "mended", "para_id")
 
 
+def _alone(text: str):
+    """Lines that may be headers and whether they stand between blank lines."""
+    lines = text.split("\n")
+    for i, line in enumerate(lines):
+        if line and _header_like(line):
+            yield line, not (i and lines[i - 1].strip()) and not (i + 1 < len(lines) and lines[i + 1].strip())
+
+
+def count_words(texts: list[str], labels: list[str | None], bares: _Memo) -> Counter:
+    """Counts by (language of the label, word), lower-case uses by (LOWER, word), words of short lines by themselves by (HEADS, word)."""
+    raw: dict[str, Counter] = defaultdict(Counter)
+    sums: Counter = Counter()
+    for label, t in zip(labels, texts, strict=True):
+        raw[code(label) or ""].update(t.split())
+        for line, alone in _alone(t):
+            if alone:
+                sums[HEADS, ""] += 1
+                sums.update({(HEADS, w.lower()) for w in _WORD.findall(line)})
+    for own, counts in raw.items():
+        for token, n in counts.items():
+            w = bares[token]
+            if w:
+                low = w.lower()
+                if own:
+                    sums[own, low] += n
+                if low == w:
+                    sums[LOWER, low] += n
+    return sums
+
+
 def word_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """(lang, word, n) over all records, by the language that a record's label means; summed in tasks first."""
+    """(lang, word, n) of ``count_words`` over all records; summed in tasks first."""
 
     def make():
         bares = _Memo(bare)
 
         def f(keys, texts):
-            sums: Counter = Counter()
-            for label, t in zip(keys[0], texts, strict=True):
-                own = code(label)
-                if own:
-                    sums.update((own, w) for w in map(bares.__getitem__, t.lower().split()) if w)
+            sums = count_words(texts, keys[0], bares)
             return {"lang": [k[0] for k in sums], "word": [k[1] for k in sums], "n": list(sums.values())}
 
         return f
@@ -378,18 +452,16 @@ def masked_lines(docs: DataFrame, text: str, words) -> DataFrame:
     """(masked, n, alone): how many lines have a masked form, how many of them stand between blank lines."""
 
     def make():
-        known = words.value.home
+        known = words.value.literal
 
         def f(_, texts):
             seen, alone = Counter(), Counter()
             for t in texts:
-                lines = t.split("\n")
-                for i, line in enumerate(lines):
-                    if line and _header_like(line):
-                        m = mask(line, known)
-                        if "@" in m and re.search("[a-z]", m):
-                            seen[m] += 1
-                            alone[m] += not (i and lines[i - 1].strip()) and not (i + 1 < len(lines) and lines[i + 1].strip())
+                for line, by_itself in _alone(t):
+                    m = mask(line, known)
+                    if "@" in m and _WORD.search(m):
+                        seen[m] += 1
+                        alone[m] += by_itself
             return {"masked": list(seen), "n": list(seen.values()), "alone": [alone[m] for m in seen]}
 
         return f
@@ -403,12 +475,11 @@ def fit(docs: DataFrame, text: str = "markdown", lang: str = "lang") -> Pages:
     The driver gets words and forms with a minimal count and share, so a bounded number of them.
     """
     spark = docs.sparkSession
-    counts = word_counts(docs, text, lang).cache()
+    counts = cut_lineage(word_counts(docs, text, lang))
     total = counts.agg(F.sum("n")).first()[0] or 0
     by: dict[str, Counter] = defaultdict(Counter)
     for r in counts.where(F.col("n") >= max(MIN_COUNT, MIN_SHARE * total)).toLocalIterator():
         by[r.lang][r.word] = r.n
-    counts.unpersist()
     words = Words(by)
     shared = spark.sparkContext.broadcast(words)
     least = max(HEADER_COUNT, HEADER_SHARE * docs.count())

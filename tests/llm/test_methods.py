@@ -83,7 +83,7 @@ def pages():
 
     words = "the and every child house river paper between garden because morning returns reader table".split()
     counts = Counter({w: 1000 for w in words}) | Counter({"tbe": 2, "bouse": 1})
-    return scans.Pages(scans.Words({"en": counts}), frozenset({"vol. #. @ @ papers"}))
+    return scans.Pages(scans.Words({"en": counts, scans.HEADS: Counter({"": 9, "vol": 9, "papers": 9})}), frozenset({"Vol. #. @ @ Papers"}))
 
 
 @pytest.mark.parametrize(
@@ -96,7 +96,10 @@ def pages():
         ("The child and the r i v e r returns.", {"spaced"}),
         ("The child and thegarden returns.", {"glued"}),
         ("The child ~ and the river returns.", {"speck"}),
-        ("Vol. 3. Zamo Kelu papers", {"header"}),
+        ("Vol. 3. Zamo Kelu Papers", {"header"}),
+        ("4  Vol. 3. The Kelu Papcrs", {"header"}),
+        ("The child and the Vol. 3. Zamo Kelu Papers river returns.", {"header"}),
+        ("The child and   the house   returns because every river ret- urns.", {"divided"}),
         ("- 12 -", {"page number"}),
         ("xiv", {"page number"}),
         ("- the child\n- the river\n- the house", set()),
@@ -110,7 +113,7 @@ def test_traces(pages, text, kinds):
 
 
 def test_mended(pages):
-    text = "Vol. 3. Zamo Kelu papers\n\nThe child and the hou-\nse returns ~ because the r i v e r\nand thegarden returns to tbe table.\n\n7"
+    text = "Vol. 3. Zamo Kelu Papers\n\nThe child and the hou-\nse returns ~ because the r i v e r\nand thegarden returns to tbe table.\n\n7"
     assert scans.mend(pages, text) == "The child and the house returns because the river and the garden returns to the table."
 
 
