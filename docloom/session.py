@@ -3,11 +3,20 @@
 from __future__ import annotations
 
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, if they see that folder; else ship it with the job."""
+    root, there = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in there.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{there}" if there else root
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
