@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions import geometry, text
-from docloom.operators import curation, features, layout, reports, review, routing
+from docloom.operators import curation, features, layout, neardup, reports, review, routing
 from docloom.plans import pipeline
 from docloom.session import table
 from docloom.streaming import streams
@@ -489,6 +489,11 @@ def dedup_normalized(spark, d):
     return curation.first_of_same(table(spark, d, "documents"), "doc_id", "text")
 
 
+@query()
+def near_duplicate_classes(spark, d):
+    return neardup.classes(table(spark, d, "documents"))
+
+
 @query(r"""SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}', '⟨PII:email⟩', 'g'),
  '\b(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)\b', '⟨PII:ipv4⟩', 'g'), '\b[1-9]\d{5}(?:19|20)\d{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])\d{3}[\dXx]\b', '⟨PII:cn_id⟩', 'g'), '\b1[3-9]\d{9}\b', '⟨PII:phone⟩', 'g'),
  '\b[0-9A-HJ-NPQRTUWXY]{2}\d{6}[0-9A-HJ-NPQRTUWXY]{10}\b', '⟨PII:uscc⟩', 'g'), '\b[EG]\d{8}\b', '⟨PII:passport⟩', 'g')) digest FROM documents WHERE text IS NOT NULL""")

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom import config
-from docloom.operators import curation, features, layout, reports, review, routing
+from docloom.operators import curation, features, layout, neardup, reports, review, routing
 
 
 def test_stage_closure():
@@ -134,3 +134,31 @@ def test_empty_tables(spark, tiny_dir):
     assert reports.dashboard(results, kept_only=True).count() == 0
     segments = spark.read.parquet(f"{tiny_dir}/segments.parquet").limit(0)
     assert layout.merged(segments).count() == 0 and routing.stage_b_rows(segments).count() == 0
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    import random
+
+    r = random.Random(4)
+    rows = []
+    for base in range(12):
+        words = [f"w{r.randint(0, 400)}" for _ in range(120)]
+        for v in range(4):
+            changed = list(words)
+            for _ in range(v):
+                changed[r.randrange(120)] = f"x{r.randint(0, 9999)}"
+            rows.append((base * 10 + v, " ".join(changed)))
+    rows += [(500 + i, "one  text\tthat is copied") for i in range(30)] + [(900, None), (901, " "), (902, "short"), (902, "short"), (None, "x")]
+    got = {x.doc_id: (x.class_id, x.links) for x in neardup.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    sets = {k: set(neardup.shingles(t).tolist()) for k, t in rows if k is not None and t and t.strip() and k < 500}
+    near = {k: {j for j in sets if j != k and len(sets[k] & sets[j]) >= 0.8 * len(sets[k] | sets[j])} for k in sets}
+    label = dict.fromkeys(sets)
+    for k in sorted(sets):
+        todo = [k] if label[k] is None else []
+        while todo:
+            x = todo.pop()
+            if label[x] is None:
+                label[x] = k
+                todo += near[x]
+    assert {k: v for k, v in got.items() if k < 500} == {k: (label[k], len(near[k])) for k in sets}
+    assert {got[500 + i] for i in range(30)} == {(500, 0)} and got[902] == (902, 0) and 900 not in got and 901 not in got
