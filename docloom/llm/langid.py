@@ -20,12 +20,14 @@ ORDER = 4
 #: The models are fitted on at most so many labelled records a language, of at most so many characters each, in so many rounds of cleaning.
 TRAIN_RECORDS, TRAIN_CHARS, ROUNDS = 240, 20_000, 2
 #: Bits that a change of language within a record costs, and bits a byte beyond which text is no natural language.
-SWITCH, NATURAL = 14.0, 4.2
+SWITCH, NATURAL = 4.0, 4.2
 #: A language counts in a paragraph from so many sentences on; a record needs so many bytes of words to have a language.
 SENTENCES, LEAST_BYTES = 2, 8
 
 _BLANK = re.compile(r"\n[^\S\n]*\n\s*")
 _SENTENCE = re.compile(r"[.!?…][\"”’»)\]]*(?=\s*$|\s+[^\s\da-zà-ÿα-ωά-ώа-яё])|[。？！]")
+#: Signs of wrong decoding: the first bytes of UTF-8 read as letters or frames, with what such bytes are followed by.
+_GARBLED = re.compile("[ÃÂÅÄÐÑÎÏâ├┬╨╤√‚ΓВГРСв][\x80-¿Œ-ſƒˆ˜†-™€─-◿Ђ-Џђ-џ¬∞≥-≫ÇáéíóúñÑªº]")
 _LISTED = re.compile(r"\s*(?:#|\*{2,}|\||<t|[-*+•–—·o]\s|\d{1,3}[.)]\s|[a-zA-Z][.)]\s)")
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -264,7 +266,8 @@ class Reader:
 
     def _mend(self, pieces: list[str], bits: np.ndarray, sizes: np.ndarray) -> None:
         """Wrongly decoded pieces take the code lengths of the best reading of any encoding chain."""
-        doubtful = [k for k in np.flatnonzero(bits.min(1) > 2.2 * np.maximum(1, sizes)).tolist() if sum(not c.isascii() for c in pieces[k]) * 20 > len(pieces[k])]
+        rate = bits.min(1) / np.maximum(1, sizes)
+        doubtful = [k for k in np.flatnonzero(rate > 1.5).tolist() if _GARBLED.search(pieces[k]) or rate[k] > 2.2 and sum(not c.isascii() for c in pieces[k]) * 20 > len(pieces[k])]
         for k in doubtful:
             text = pieces[k]
             found = [(a, b, text[a:b]) for a, b, *_ in tokens(text)]
