@@ -268,25 +268,28 @@ class Reader:
         """Wrongly decoded pieces take the code lengths of the best reading of any encoding chain."""
         rate = bits.min(1) / np.maximum(1, sizes)
         doubtful = [k for k in np.flatnonzero(rate > 1.5).tolist() if _GARBLED.search(pieces[k]) or rate[k] > 2.2 and sum(not c.isascii() for c in pieces[k]) * 20 > len(pieces[k])]
+        tries, owner = [], []
         for k in doubtful:
             text = pieces[k]
             found = [(a, b, text[a:b]) for a, b, *_ in tokens(text)]
-            tries = []
             for chain in CHAINS:
-                made = [(a, b, undo(t, chain)) for a, b, t in found]
-                if sum(len(x or "") > 0 for *_, x in made) * 2 >= len(made) and made:
+                for few in (found[:6], found):  # the first tokens tell most chains from the right one
+                    made = [(a, b, undo(t, chain)) for a, b, t in few]
+                    if sum(x is not None for *_, x in made) * 2 < len(made) or not made:
+                        break
+                else:
                     parts, at = [], 0
                     for a, b, x in made:
                         parts += [text[at:a], x if x is not None else " "]
                         at = b
                     tries.append("".join([*parts, text[at:]]))
-            if tries:
-                other, size = self.models.bits(tries)
-                # compare by bits a byte: a garbled character is several bytes of its own
-                rate = other.min(1) / np.maximum(1, size)
-                best = int(rate.argmin())
-                if rate[best] < bits[k].min() / max(1, sizes[k]):
-                    bits[k], sizes[k] = other[best], size[best]
+                    owner.append(k)
+        if tries:
+            other, size = self.models.bits(tries)
+            better = other.min(1) / np.maximum(1, size)  # by bits a byte: a garbled character is several bytes of its own
+            for j in np.argsort(-better, kind="stable").tolist():
+                if better[j] < rate[owner[j]]:
+                    bits[owner[j]], sizes[owner[j]] = other[j], size[j]
 
     def _record(self, bits: np.ndarray, sizes: np.ndarray, owner: list) -> tuple:
         rate = bits.min(1) / np.maximum(1, sizes)

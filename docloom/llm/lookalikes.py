@@ -93,9 +93,10 @@ def one_form(text: str) -> str:
 
 
 _ALIKE = "".join(olds for olds, _ in LOOKALIKES.values())
-_MIXED = re.compile(f"[^\\W\\d_]*(?:[A-Za-z][{_ALIKE}]|[{_ALIKE}][A-Za-z])[^\\W\\d_]*")
-_MEETS = re.compile(f"[A-Za-z][{_ALIKE}]|[{_ALIKE}][A-Za-z]")
+_MEETS = re.compile("[A-Za-z][Ͱ-ԯ]|[Ͱ-ԯ][A-Za-z]")
+_MIXED = re.compile("[^\\W\\d_]*(?:[A-Za-z][Ͱ-ԯ]|[Ͱ-ԯ][A-Za-z])[^\\W\\d_]*")
 _ALONE = re.compile(f"(?<![^\\W_])[{_ALIKE}]+(?![^\\W_])")
+_BACK = {k: {ord(new): old for old, new in zip(*LOOKALIKES[k], strict=True)} for k in ("Cyrillic", "Greek")}
 _FOREIGN = re.compile(f"(?![{_ALIKE}])[Ͱ-ԯ]")
 
 
@@ -114,8 +115,18 @@ def _plain() -> tuple[dict[int, str], re.Pattern]:
     return rules, re.compile("[" + "".join(re.escape(chr(a)) + "-" + re.escape(chr(b)) for a, b in spans) + "]")
 
 
+def _own_script(m: re.Match) -> str:
+    """A word of letters of two scripts in the one that has all of them, as seen; as it is if neither has."""
+    word = m[0]
+    foreign = _FOREIGN.search(word)
+    if not foreign:
+        return word.translate(compiled()[0])
+    back = _BACK["Cyrillic" if foreign[0] >= "Ѐ" else "Greek"]
+    return word.translate(back) if all(ord(c) in back for c in word if c.isascii()) else word
+
+
 def readable(text: str) -> str:
-    """As ``one_form``, but look-alike letters change only within words that hold Latin letters, or where no word is of their script.
+    """As ``one_form``, but look-alike letters change only within words of two scripts, or where no word is of their script.
 
     For texts that people or models read on; ``one_form`` is the form to compare by.
     """
@@ -124,12 +135,10 @@ def readable(text: str) -> str:
     rules, odd = _plain()
     if odd.search(text):
         text = unicodedata.normalize("NFC", text.translate(rules))
-    single, _ = compiled()
-    change = lambda m: m[0].translate(single)
     if _MEETS.search(text):
-        text = _MIXED.sub(change, text)
+        text = _MIXED.sub(_own_script, text)
     if _ALONE.search(text) and len(_FOREIGN.findall(text)) < 5:
-        text = _ALONE.sub(change, text)
+        text = _ALONE.sub(lambda m: m[0].translate(compiled()[0]), text)
     return text
 
 
