@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for files that all executors see, in the one that ``spark.checkpoint.dir`` names; a local one only where that is unset."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix=f"docloom-{name}-")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` with a reliable checkpoint in the folder that ``spark.checkpoint.dir`` names.
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.operators import review
+from docloom.session import shared_folder
 
 
 def flags_stream(spark: SparkSession, path: str, schema, most_files: int = 100) -> DataFrame:
@@ -16,14 +17,21 @@ def flags_stream(spark: SparkSession, path: str, schema, most_files: int = 100)
     return review.latest_flags(log)
 
 
-def drained(stream: DataFrame, name: str, checkpoint: str | None = None) -> DataFrame:
-    """All that a finite stream holds now, as a table in memory: for state no larger than a report."""
-    writer = stream.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True)
-    if checkpoint:
-        writer = writer.option("checkpointLocation", checkpoint)
-    query = writer.start()
+def drained(stream: DataFrame, name: str) -> DataFrame:
+    """The state of an aggregation over all that a stream holds now, as a table in a shared folder.
+
+    Each batch writes the whole state beside the one before; the driver learns only the number of the last.
+    """
+    spark = stream.sparkSession
+    folder, last = shared_folder(spark, name), []
+
+    def keep(state: DataFrame, number: int) -> None:
+        state.write.mode("overwrite").parquet(f"{folder}/state/{number}")
+        last.append(number)
+
+    query = stream.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start()
     query.awaitTermination()
-    return stream.sparkSession.table(name)
+    return spark.read.parquet(f"{folder}/state/{last[-1]}") if last else spark.createDataFrame([], stream.schema)
 
 
 def ingest(spark: SparkSession, root: str, out: str, checkpoint: str, process: Callable[[DataFrame], DataFrame], most_files: int = 1000) -> None:

@@ -162,3 +162,9 @@ def test_near_duplicates_equal_brute_force(spark):
                 todo += near[x]
     assert {k: v for k, v in got.items() if k < 500} == {k: (label[k], len(near[k])) for k in sets}
     assert {got[500 + i] for i in range(30)} == {(500, 0)} and got[902] == (902, 0) and 900 not in got and 901 not in got
+
+
+def test_zipped_goes_as_far_as_both(spark):
+    df = spark.createDataFrame([([1, 2, 3], ["a", "b"]), ([], ["a"])], "r array<int>, s array<string>")
+    got = [[(x.region, x.result) for x in row[0]] for row in df.select(layout.zipped(F.col("r"), F.col("s"))).collect()]
+    assert got == [[(1, "a"), (2, "b")], []]
