@@ -173,13 +173,16 @@ def same_looking_pairs(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Pairs id_a < id_b of records whose texts look the same but are not the same characters.
 
     Records group by the hash of their one form. Groups with a single raw text, however many copies it has, drop out
-    before anything is paired, so exact copies never meet; within the rest a record meets only records of another raw
-    text. The join's keys are hashes, and a skewed group is split by adaptive execution.
+    first. In the rest different raw texts are paired, once each whatever their copies, and then their records: copies of
+    one raw text never meet. Keys are hashes, and a skewed group is split by adaptive execution.
     """
     found = forms(docs, key, text)
     by = ["form_hi", "form_lo"]
     varied = found.groupBy(*by).agg((F.min("raw") != F.max("raw")).alias("varied")).where("varied").select(*by)
     left = found.join(varied, by)
-    a = left.select(*by, F.col("raw").alias("raw_a"), F.col(key).alias("id_a"))
-    b = left.select(*by, F.col("raw").alias("raw_b"), F.col(key).alias("id_b"))
-    return a.join(b, by).where("raw_a != raw_b AND id_a < id_b").select("id_a", "id_b")
+    raws = left.select(*by, "raw").distinct()
+    a, b = raws.withColumnRenamed("raw", "raw_a"), raws.withColumnRenamed("raw", "raw_b")
+    differ = a.join(b, by).where("raw_a < raw_b")
+    x, y = left.select(*by, F.col("raw").alias("raw_a"), F.col(key).alias("x")), left.select(*by, F.col("raw").alias("raw_b"), F.col(key).alias("y"))
+    pairs = differ.join(x, [*by, "raw_a"]).join(y, [*by, "raw_b"])
+    return pairs.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
