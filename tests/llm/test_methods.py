@@ -410,3 +410,15 @@ def test_hot_group_of_copies(spark):
     placed = packing.packed(df, bins)
     assert placed.count() == 900
     assert placed.groupBy("container").agg(F.sum("size").alias("n")).where("n > 64").count() == 0
+
+
+def test_tokens_that_occur_once_tell_which_chains_are_at_work(spark):
+    """Different garbled words of one source, each once: they add up to the source's share."""
+    r = random.Random(4)
+    words = [a + "é" + b + c for a in "bcdfglmnprst" for b in ("li", "ra", "to", "ne", "mi", "su") for c in ("ne", "ter", "de", "que")]
+    clean = [" ".join(r.choice([w, "dans", "une", "maison"]) for w in r.sample(words, 60)) for _ in range(200)]
+    once = [garble(f"le {w} dans une maison", "utf-8", "mac_roman") for w in words[:40]]
+    rows = [(i, t, "a") for i, t in enumerate(clean)] + [(1000 + i, t, "b") for i, t in enumerate(once)]
+    model = encodings.fit(spark.createDataFrame(rows, "ext_id bigint, markdown string, source string"))
+    share = model.prior["b"][encodings.CHAINS.index(("mac_roman", "utf-8"))]
+    assert share > 10 * model.prior["a"][encodings.CHAINS.index(("mac_roman", "utf-8"))] and share > 0.05
