@@ -422,3 +422,18 @@ def test_tokens_that_occur_once_tell_which_chains_are_at_work(spark):
     model = encodings.fit(spark.createDataFrame(rows, "ext_id bigint, markdown string, source string"))
     share = model.prior["b"][encodings.CHAINS.index(("mac_roman", "utf-8"))]
     assert share > 10 * model.prior["a"][encodings.CHAINS.index(("mac_roman", "utf-8"))] and share > 0.05
+
+
+def test_what_other_records_hold_doesnt_hide_a_garbled_token(model, monkeypatch):
+    """The same token, first in a source without the chain, then in one where the chain is at work."""
+    k = encodings.CHAINS.index(("cp1251", "cp1252"))
+    token = garble("garçon", "cp1252", "cp1251")
+    rare = [1e-12] * len(encodings.CHAINS)
+    monkeypatch.setattr(model, "prior", model.prior | {"clean": rare, "bad": [0.3 if i == k else p for i, p in enumerate(rare)]})
+    monkeypatch.setattr(model, "bounds", None, raising=False)
+    seen = [-3.0, *(0.0 if i == k else -60.0 for i, _ in encodings.readings(token))]
+    monkeypatch.setattr(model, "scores", {(" ", " ", token): seen})
+    model.safe.clear()
+    assert model.restore(f"le {token} dans", "clean")[1] == 0
+    assert model.restore(f"le {token} dans", "bad") == ("le garçon dans", 1)
+    model.safe.clear()
