@@ -16,8 +16,8 @@ from docloom.session import cut_lineage
 RATIO, MATE = 25, 40
 #: Parts of glued words, halves of divided words have at least this count and this share of the language's words.
 PART, PART_SHARE = 12, 2e-5
-#: Words below this count or share of all words don't reach the driver: it gets at most 1 / MIN_SHARE of them.
-MIN_COUNT, MIN_SHARE = 2, 1e-7
+#: Words below this count don't reach the driver, whatever the corpus; in judgements their count is the most that it can be.
+MIN_COUNT = 2
 #: A header's masked form stands in at least so many records (and this share of them), so often on its own.
 HEADER_COUNT, HEADER_SHARE, HEADER_ALONE = 4, 2e-4, 0.25
 #: A word with less than this share of its uses in one language is a name; a word in this share of all short lines by themselves is part of headers.
@@ -121,7 +121,7 @@ class Words:
         """('misread', word), ('name', word) where that may be a name instead, ('glued', words) or None."""
         c, part = self.counts[lang], self.part[lang]
         low = token.lower()
-        own, mate = c[low], self.mates[lang].get(skeleton(low))
+        own, mate = c[low] or MIN_COUNT - 1, self.mates[lang].get(skeleton(low))
         if any(x.isdigit() for x in token):
             return None if low.isdigit() else self._digits(low, own, mate, c, part)
         capital = token[0].isupper()
@@ -129,7 +129,7 @@ class Words:
         other = self.home.get(low, lang)
         if other != lang and self.counts[other][low] >= 10 * self.part[other]:
             return None
-        if mate and mate[0] != low and mate[1] >= RATIO * (own + 1) and self.total[mate[0]] >= RATIO * self.total[low] and len(low) > 1 + capital:
+        if mate and mate[0] != low and mate[1] >= RATIO * (own + 1) and self.total[mate[0]] >= RATIO * max(own, self.total[low]) and len(low) > 1 + capital:
             return "name" if capital and (lang != "de" or len(low) < 7) else "misread", mate[0]
         if (self.total[low] - own) * 4 >= own + 2:  # a word of another language, or a name, which all languages have
             return None
@@ -472,13 +472,13 @@ def masked_lines(docs: DataFrame, text: str, words) -> DataFrame:
 def fit(docs: DataFrame, text: str = "markdown", lang: str = "lang") -> Pages:
     """The frequent words of each language and the masked forms of headers, counted over all records.
 
-    The driver gets words and forms with a minimal count and share, so a bounded number of them.
+    The driver gets words and forms with a minimal count; that of words doesn't grow with the corpus, so that a record's
+    verdicts don't change with it.
     """
     spark = docs.sparkSession
     counts = cut_lineage(word_counts(docs, text, lang))
-    total = counts.agg(F.sum("n")).first()[0] or 0
     by: dict[str, Counter] = defaultdict(Counter)
-    for r in counts.where(F.col("n") >= max(MIN_COUNT, MIN_SHARE * total)).toLocalIterator():
+    for r in counts.where(F.col("n") >= MIN_COUNT).toLocalIterator():
         by[r.lang][r.word] = r.n
     words = Words(by)
     shared = spark.sparkContext.broadcast(words)

@@ -437,3 +437,15 @@ def test_what_other_records_hold_doesnt_hide_a_garbled_token(model, monkeypatch)
     assert model.restore(f"le {token} dans", "clean")[1] == 0
     assert model.restore(f"le {token} dans", "bad") == ("le garçon dans", 1)
     model.safe.clear()
+
+
+def test_rare_words_count_as_they_are(spark, monkeypatch):
+    """A rare word whose look-alike is less than 25 times as frequent stays, whatever share of all words it is."""
+    monkeypatch.setattr(scans, "MIN_SHARE", 1e-2, raising=False)  # as in a corpus a hundred thousand times as large
+    words = "the and every child house river paper between garden because morning returns reader table".split()
+    r = random.Random(8)
+    texts = [" ".join(r.choice(words) for _ in range(40)) + "." for _ in range(60)] + ["The bearer and the child."] * 70 + ["The hearer and the child."] * 5 + ["The dealer and the child."] * 45 + ["The dealcr and the child."]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    pages = scans.fit(spark.createDataFrame(rows, "ext_id bigint, markdown string, lang string"))
+    got = [pages.words.judge(w, "en") for w in ("hearer", "dealcr")]
+    assert got == [None, None] and pages.words.counts["en"]["hearer"] == 5
