@@ -242,8 +242,7 @@ def features_long(spark, d):
 
 @query()
 def features_page_sample(spark, d):
-    pages = table(spark, d, "router_decisions").where("num_pages > 0").select("pdf_path", "num_pages").distinct()
-    return pages.join(features.sample_table(spark, 64), "num_pages")
+    return features.page_samples(table(spark, d, "router_decisions"))
 
 
 # layout

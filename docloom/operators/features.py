@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,13 +52,26 @@ def padding(sampled: int, most: int = PAGES) -> list[int]:
     return np.random.RandomState(SEED).choice(sampled, most - sampled, replace=True).tolist() if 0 < sampled < most else []
 
 
+def _draws(total: int) -> list[tuple[int, int, int]]:
+    pages = page_choice(total)
+    return [(total, slot + 1, page) for slot, page in enumerate(pages + [pages[i] for i in padding(len(pages))])]
+
+
 def sample_table(spark: SparkSession, largest: int) -> DataFrame:
     """(num_pages, slot, page_index) for 1 to ``largest`` pages: draws depend on the page count only, so a join replaces them."""
-    rows = []
-    for total in range(1, largest + 1):
-        pages = page_choice(total)
-        rows += [(total, slot + 1, page) for slot, page in enumerate(pages + [pages[i] for i in padding(len(pages))])]
-    return spark.createDataFrame(rows, "num_pages int, slot int, page_index int")
+    return spark.createDataFrame([row for total in range(1, largest + 1) for row in _draws(total)], "num_pages int, slot int, page_index int")
+
+
+def page_samples(documents: DataFrame) -> DataFrame:
+    """(pdf_path, num_pages, slot, page_index) of each distinct document (pdf_path, num_pages) with pages; draws are made once a page count that occurs."""
+
+    def run(batches):
+        for batch in batches:
+            rows = [row for total in batch.column(0).to_pylist() for row in _draws(total)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int32()) for i in range(3)], names=["num_pages", "slot", "page_index"])
+
+    pages = documents.where("num_pages > 0").select("pdf_path", F.col("num_pages").cast("int").alias("num_pages")).distinct()
+    return pages.join(pages.select("num_pages").distinct().mapInArrow(run, "num_pages int, slot int, page_index int"), "num_pages")
 
 
 def text_features(spans: DataFrame) -> DataFrame:

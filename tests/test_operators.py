@@ -95,6 +95,22 @@ def test_feature_vector_and_samples(spark):
     assert features.sample_table(spark, 3).where("num_pages = 3").count() == 8
 
 
+def test_documents_of_any_length_have_page_samples(spark):
+    docs = spark.createDataFrame([("a", 65), ("b", 3000), ("c", 3), ("c", 3), ("d", 0), ("e", None), ("f", 20), ("g", 65)], "pdf_path string, num_pages int")
+    got = {}
+    for r in features.page_samples(docs).orderBy("pdf_path", "slot").collect():
+        got.setdefault(r.pdf_path, []).append(r.page_index)
+    assert sorted(got) == ["a", "b", "c", "f", "g"] and all(len(x) == 8 for x in got.values())
+    assert got["a"] == got["g"] == features.page_choice(65) and got["b"] == features.page_choice(3000) and got["f"] == features.page_choice(20)
+
+
+def test_long_documents_keep_their_rows_in_the_query(spark, tmp_path):
+    from docloom import catalogue
+
+    spark.createDataFrame([("a", 65), ("c", 3)], "pdf_path string, num_pages int").write.parquet(f"{tmp_path}/router_decisions.parquet")
+    assert sorted(r.pdf_path for r in catalogue.features_page_sample(spark, str(tmp_path)).select("pdf_path").distinct().collect()) == ["a", "c"]
+
+
 def test_junk_images(spark):
     rows = [("a", p, 7, 3) for p in range(3)] + [("b", p, 7, 3) for p in range(2)] + [("c", p, 7, 2) for p in range(2)]
     df = spark.createDataFrame(rows, "doc string, page int, xref bigint, n_pages int")
