@@ -273,17 +273,21 @@ class Reader:
             text = pieces[k]
             found = [(a, b, text[a:b]) for a, b, *_ in tokens(text)]
             for chain in CHAINS:
-                for few in (found[:6], found):  # the first tokens tell most chains from the right one
-                    made = [(a, b, undo(t, chain)) for a, b, t in few]
-                    if sum(x is not None for *_, x in made) * 2 < len(made) or not made:
+                made, lacking = [], 0
+                for a, b, token in found:
+                    before = undo(token, chain)
+                    lacking += before is None
+                    if lacking * 2 > len(found):  # more than half of all tokens: the chain is out, whatever the others are
                         break
-                else:
-                    parts, at = [], 0
-                    for a, b, x in made:
-                        parts += [text[at:a], x if x is not None else " "]
-                        at = b
-                    tries.append("".join([*parts, text[at:]]))
-                    owner.append(k)
+                    made.append((a, b, before))
+                if not found or lacking * 2 > len(found):
+                    continue
+                parts, at = [], 0
+                for a, b, x in made:
+                    parts += [text[at:a], x if x is not None else " "]
+                    at = b
+                tries.append("".join([*parts, text[at:]]))
+                owner.append(k)
         if tries:
             other, size = self.models.bits(tries)
             better = other.min(1) / np.maximum(1, size)  # by bits a byte: a garbled character is several bytes of its own

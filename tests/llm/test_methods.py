@@ -449,3 +449,15 @@ def test_rare_words_count_as_they_are(spark, monkeypatch):
     pages = scans.fit(spark.createDataFrame(rows, "ext_id bigint, markdown string, lang string"))
     got = [pages.words.judge(w, "en") for w in ("hearer", "dealcr")]
     assert got == [None, None] and pages.words.counts["en"]["hearer"] == 5
+
+
+def test_sentences_garbled_after_a_right_beginning(models):
+    """Seven words decoded rightly, the others not: the chain is found by all tokens."""
+    words = " ".join(sentences(6, RU, 5)).replace(".", "").lower().split()
+    piece = " ".join(words[:7]) + " " + " ".join(words[7:24]).encode().decode("cp1251", "replace")
+    reader = langid.Reader(models)
+    bits, sizes = models.bits([piece])
+    before = bits[0].min() / sizes[0]
+    reader._mend([piece], bits, sizes)
+    assert bits[0].min() / sizes[0] < 0.75 * before
+    assert models.languages[int(bits[0].argmin())] == "ru"
