@@ -1,4 +1,4 @@
-"""Evaluation passages inside a corpus, by size-partitioned MinHash containment search (problem 9)."""
+"""Evaluation passages inside a corpus, by an index of their shingles, of long items the least hashes (problem 9)."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from docloom.llm.lookalikes import one_form
 
 #: A leaked passage has so many words of the item in a row; an item leaks from such a share of its words on.
 RUN, SHARE = 6, 0.4
-#: Least so many MinHash values stand for an item; items of one size class (powers of two) share their number.
+#: All shingles stand for an item of at most twice so many, else its twice so many least hashes.
 SKETCH = 128
 #: Items searched for in one pass over the corpus; more items are searched for block after block.
 ITEM_BLOCK = 20_000
@@ -48,7 +48,7 @@ def passages(items: list[tuple[int, str]]) -> dict[tuple[str, ...], list[int]]:
 
 
 def sketch_size(shingles: int) -> int:
-    """MinHash values kept for an item of so many shingles: all in the classes up to ``SKETCH``, else 2 * SKETCH.
+    """MinHash values kept for an item of so many shingles: all up to 2 * SKETCH, else 2 * SKETCH.
 
     An item leaks if at least SHARE of its words stand in runs of RUN; that is at least SHARE / RUN of its shingles, of
     which 2 * SKETCH values hold 17 on average: a leaked long item is missed with probability below 1e-7.
@@ -73,7 +73,7 @@ def _shingles(ids: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Sketches of items, partitioned by size class, and what exact verification needs."""
+    """Sketches of items in one sorted array and what exact verification needs."""
 
     def __init__(self, passages: dict[tuple[str, ...], list[int]]):
         self.vocabulary = {w: k for k, w in enumerate(sorted({w for p in passages for w in p}), 1)}
@@ -132,7 +132,7 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     """Rows (``key``, item_id, contained): documents that hold at least ``SHARE`` of an item's words in passages of ``RUN`` or more.
 
     Items are the stated query set, searched for in blocks of ``ITEM_BLOCK``; documents stream past the sketches, no
-    shuffle and no pairing of documents. MinHash sketches, partitioned by item size, give the candidates, exact shingle
+    shuffle and no pairing of documents. An index of the items' shingles gives the candidates, exact shingle
     containment decides. Items without ``RUN`` words, NULL texts and empty tables give no rows; items with the same
     passage leak together; repeated rows count once. Stock instructions are no part of a passage.
     """
