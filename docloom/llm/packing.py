@@ -1,8 +1,9 @@
-"""Items of varying length in containers of fixed capacity (problem 8)."""
+"""Items of varying length in containers of fixed capacity: batches inside optimal length buckets (problem 8)."""
 
 from __future__ import annotations
 
 import base64
+from bisect import bisect_left, insort
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,8 +19,8 @@ from docloom.session import cut_lineage
 
 #: Default vocabulary of token sizes, by name in the installed package of public tokenizers.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Items of one length are ranked in so many parts, so that a frequent length is no single task.
-SALTS = 64
+#: Items of one length are ranked in windows of about so many, so that a frequent length is no single task.
+RANKED = 1_000_000
 
 
 def tokenizer(path: str | None = None):
@@ -41,7 +42,7 @@ def sizes(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
 
         return f
 
-    return map_texts(docs.where(F.col(key).isNotNull()), [key], text, "k bigint, tokens bigint", make).distinct().groupBy("k").agg(F.max("tokens").alias("tokens")).withColumnRenamed("k", key)
+    return map_texts(docs.where(F.col(key).isNotNull()), [key], text, "k bigint, tokens bigint", make).groupBy("k").agg(F.max("tokens").alias("tokens")).withColumnRenamed("k", key)
 
 
 def buckets(counts: np.ndarray, capacity: int) -> tuple[list[int], int]:
@@ -69,59 +70,99 @@ def buckets(counts: np.ndarray, capacity: int) -> tuple[list[int], int]:
 
 @dataclass
 class Plan:
-    """Where the items of each length go: rank r in [low, high) of length ``size`` to container first + (r - low) // each."""
+    """Where the items of each length go: rank r in [low, next low) of length ``size`` to container first + (skip + r - low) // each."""
 
     size: np.ndarray
     low: np.ndarray
     first: np.ndarray
     each: np.ndarray
+    skip: np.ndarray
     containers: int
     bucket_ends: list[int]
     padding: int
 
-
-def plan(counts: np.ndarray, capacity: int) -> Plan:
-    """Batches within the optimal buckets, the longest first; what a batch leaves free takes items of shorter ones.
-
-    Works on the histogram alone: open containers with the same free space are one interval of numbers. An item goes to
-    the container with the least free space that it fits, a new one if there is none. Items of a bucket that find no
-    space left by longer ones so fill batches of their own up to the token budget.
+    def place(self, size: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """Container numbers of items by their length and rank among the items of that length."""
+        at = np.searchsorted(self.size, size, side="right") - 1
+        if len(self.size) > len(np.unique(self.size)):  # several rows a length: ranks beyond 2**40 don't fit beside a length in one number
+            first = np.searchsorted(self.size, size, side="left")
+            for _ in range(int((at - first).max(initial=0)).bit_length()):
+                middle = (first + at + 1) // 2
+                right = self.low[middle] <= rank
+                first, at = np.where(right, middle, first), np.where(right, at, np.maximum(first, middle - 1))
+            at = first
+        return self.first[at] + (self.skip[at] + rank - self.low[at]) // self.each[at]
+
+
+class _Open:
+    """Containers with room, those of equal room as intervals of numbers."""
+
+    def __init__(self, capacity: int):
+        self.free: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]
+        self.rooms: list[int] = []
+
+    def add(self, room: int, first: int, many: int) -> None:
+        if room > 0 and many > 0:
+            if not self.free[room]:
+                insort(self.rooms, room)
+            self.free[room].append((first, many))
+
+    def take(self, size: int, most: int) -> tuple[int, int] | None:
+        """Up to ``most`` containers in a row with the least room that an item of this size fits, the item put into each."""
+        i = bisect_left(self.rooms, size)
+        if i == len(self.rooms):
+            return None
+        room = self.rooms[i]
+        first, many = self.free[room].pop()
+        if not self.free[room]:
+            del self.rooms[i]
+        taken = min(many, most)
+        self.add(room, first + taken, many - taken)
+        self.add(room - size, first, taken)
+        return first, taken
+
+
+def plan(counts: np.ndarray, capacity: int, top_up: bool = True, ends: list[int] | None = None) -> Plan:
+    """Token-budget batches inside the optimal buckets; what longer buckets' batches leave free takes items of shorter buckets first.
+
+    Works on the histogram alone, from the longest bucket down. A bucket that ends at length b puts capacity // b items
+    into a batch, its own items only, in order of length. With ``top_up`` each of its items first goes to the batch of a
+    longer bucket with the least room that it fits, if there is one, so that only what finds no room there forms batches.
     """
-    ends, padding = buckets(counts, capacity)
-    free: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]
-    left = np.zeros(capacity + 1, bool)
-    rows, fresh = [], 0
-    for s in np.flatnonzero(counts)[::-1].tolist():
-        n, rank = int(counts[s]), 0
-        if s <= 0:
-            continue
-        while rank < n:
-            fits = np.argmax(left[s:]) + s if left[s:].any() else -1
-            if fits < 0:
-                held = capacity // s
-                whole, part = divmod(n - rank, held)
-                rows.append((s, rank, fresh, held))
-                if whole:
-                    free[capacity - held * s].append((fresh, whole))
-                    left[capacity - held * s] = True
-                if part:
-                    free[capacity - part * s].append((fresh + whole, 1))
-                    left[capacity - part * s] = True
-                fresh += whole + bool(part)
-                break
-            first, many = free[fits].pop()
-            take = min(many, n - rank)
-            rows.append((s, rank, first, 1))
-            if take < many:
-                free[fits].append((first + take, many - take))
-            left[fits] = bool(free[fits])
-            free[fits - s].append((first, take))
-            left[fits - s] = True
-            rank += take
-        left[0] = False
-        free[0].clear()
-    table = np.array(sorted(rows), np.int64).reshape(-1, 4)
-    return Plan(*(table[:, j] for j in range(4)), fresh, ends, padding)
+    best, padding = buckets(counts, capacity)
+    ends = best if ends is None else ends
+    room, rows, fresh = _Open(capacity), [], 0
+    lows = [0, *ends[:-1]]
+    for below, end in zip(reversed(lows), reversed(ends), strict=True):
+        held, rest, position, made = capacity // end, [], 0, []
+        for s in (np.flatnonzero(counts[below + 1 : end + 1])[::-1] + below + 1).tolist():
+            n, rank = int(counts[s]), 0
+            while top_up and rank < n and (got := room.take(s, n - rank)):
+                rows.append((s, rank, got[0], 1, 0))
+                rank += got[1]
+            if rank < n:
+                rows.append((s, rank, fresh + position // held, held, position % held))
+                rest.append((s, n - rank))
+                position += n - rank
+        part, used = 0, 0  # items and tokens in the batch at hand
+        for s, n in rest:
+            while n:
+                if part == 0 and n >= held:
+                    made.append((capacity - held * s, n // held))
+                    n %= held
+                else:
+                    k = min(held - part, n)
+                    part, used, n = part + k, used + k * s, n - k
+                    if part == held:
+                        made.append((capacity - used, 1))
+                        part, used = 0, 0
+        if part:
+            made.append((capacity - used, 1))
+        for space, many in made:
+            room.add(space, fresh, many)
+            fresh += many
+    table = np.array(sorted(rows), np.int64).reshape(-1, 5)
+    return Plan(*(table[:, j] for j in range(5)), fresh, ends, padding)
 
 
 def _items(tokens: DataFrame, key: str, capacity: int) -> DataFrame:
@@ -132,14 +173,21 @@ def _items(tokens: DataFrame, key: str, capacity: int) -> DataFrame:
     return parts.select(key, "part", F.least(c, F.col("tokens") - F.col("part") * c).alias("size"))
 
 
-def _ranked(items: DataFrame, key: str) -> DataFrame:
-    """Items with their dense rank number among those of one size, counted in ``SALTS`` parts."""
-    salted = items.withColumn("salt", F.pmod(F.xxhash64(key, "part"), F.lit(SALTS)))
-    counts = salted.groupBy("size", "salt").agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.select("size", "salt", before.alias("before"))
+def _ranked(items: DataFrame, key: str, counts: np.ndarray, window: int) -> DataFrame:
+    """Items with their dense rank among those of one size; a size of more than ``window`` items is counted in parts of about so many."""
+    salts = [(int(s), int(-(-counts[s] // window))) for s in np.flatnonzero(counts > window)]
+    salt = F.lit(0).cast("bigint")
+    if salts:  # at most one row a size, so at most capacity rows
+        hot = items.sparkSession.createDataFrame(salts, "size bigint, salts bigint")
+        items = items.join(F.broadcast(hot), "size", "left")
+        salt = F.coalesce(F.pmod(F.xxhash64(key, "part"), F.col("salts")), salt)
     own = F.row_number().over(Window.partitionBy("size", "salt").orderBy(key, "part")) - 1
-    return salted.withColumn("own", own).join(offsets, ["size", "salt"]).select(key, "part", "size", (F.col("own") + F.col("before")).alias("rank"))
+    salted = items.select(key, "part", "size", salt.alias("salt"))
+    if not salts:
+        return salted.select(key, "part", "size", own.cast("bigint").alias("rank"))
+    sums = salted.groupBy("size", "salt").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return salted.withColumn("own", own).join(sums.select("size", "salt", before.alias("before")), ["size", "salt"]).select(key, "part", "size", (F.col("own") + F.col("before")).alias("rank"))
 
 
 def _bins(bins: DataFrame) -> list[tuple[str, int]]:
@@ -153,7 +201,7 @@ def _histogram(items: DataFrame, capacity: int) -> np.ndarray:
     return counts
 
 
-def packed(docs: DataFrame, bins: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
+def packed(docs: DataFrame, bins: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, window: int = RANKED) -> DataFrame:
     """One row per item: bin_name, ``key``, part, size, container.
 
     Containers are numbered per bin from 0. A text is one item (part 0) unless it exceeds the capacity; then its parts but
@@ -167,31 +215,29 @@ def packed(docs: DataFrame, bins: DataFrame, key: str = "doc_id", text: str = "t
     out = None
     for name, capacity in _bins(bins):
         items = _items(tokens, key, capacity)
-        shared = spark.sparkContext.broadcast((name, plan(_histogram(items, capacity), capacity)))
+        counts = _histogram(items, capacity)
+        shared = spark.sparkContext.broadcast((name, plan(counts, capacity)))
 
         def place(batches, shared=shared):
             name, p = shared.value
-            start = p.size << 40 | p.low
             for batch in batches:
                 size, rank = (batch.column(j).to_numpy(zero_copy_only=False) for j in (2, 3))
-                row = np.searchsorted(start, size << 40 | rank, side="right") - 1
-                container = p.first[row] + (rank - p.low[row]) // p.each[row]
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(size)), batch.column(0), batch.column(1), batch.column(2), pa.array(container)], names=["bin_name", key, "part", "size", "container"])
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(size)), batch.column(0), batch.column(1), batch.column(2), pa.array(p.place(size, rank))], names=["bin_name", key, "part", "size", "container"])
 
-        part = _ranked(items, key).mapInArrow(place, schema)
+        part = _ranked(items, key, counts, window).mapInArrow(place, schema)
         out = part if out is None else out.unionByName(part)
     return spark.createDataFrame([], schema) if out is None else out
 
 
 def report(docs: DataFrame, bins: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
-    """Per bin: items, tokens, containers, unused_share, and n_buckets and bucket_unused_share of the buckets without top-up."""
+    """Per bin: items, tokens, containers, unused_share; n_buckets, and the unused share of the buckets' batches without top-up."""
     tokens = cut_lineage(sizes(docs, key, text, path))
     rows = []
     for name, capacity in _bins(bins):
         counts = _histogram(_items(tokens, key, capacity), capacity)
-        p = plan(counts, capacity)
         total = int((counts * np.arange(capacity + 1)).sum())
-        space = max(1, p.containers * capacity)
-        rows.append((name, capacity, int(counts.sum()), total, p.containers, (space - total) / space, len(p.bucket_ends), p.padding / max(1, total + p.padding)))
-    schema = "bin_name string, capacity_tokens int, n_items bigint, n_tokens bigint, n_containers bigint, unused_share double, n_buckets int, bucket_unused_share double"
+        p, plain = plan(counts, capacity), plan(counts, capacity, top_up=False)
+        unused = lambda x, total=total, capacity=capacity: 1 - total / max(1, x.containers * capacity)
+        rows.append((name, capacity, int(counts.sum()), total, p.containers, unused(p), len(p.bucket_ends), plain.containers, unused(plain)))
+    schema = "bin_name string, capacity_tokens int, n_items bigint, n_tokens bigint, n_containers bigint, unused_share double, n_buckets int, bucket_containers bigint, bucket_unused_share double"
     return docs.sparkSession.createDataFrame(rows, schema)

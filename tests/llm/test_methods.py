@@ -298,23 +298,46 @@ def test_pinball_loss_is_convex_with_its_subgradient():
 # 8
 
 
+@pytest.mark.parametrize("top_up", [False, True])
 @pytest.mark.parametrize("seed", range(4))
-def test_plan_places_every_item_once(seed):
+def test_plan_places_every_item_once(seed, top_up):
     r = np.random.default_rng(seed)
     capacity = 64
     counts = np.zeros(capacity + 1, np.int64)
     counts[1:] = r.integers(0, 9, capacity)
-    p = packing.plan(counts, capacity)
-    fill = np.zeros(p.containers, np.int64)
+    p = packing.plan(counts, capacity, top_up)
+    fill, held = np.zeros(p.containers, np.int64), [[] for _ in range(p.containers)]
     for s in range(1, capacity + 1):
-        for rank in range(counts[s]):
-            row = np.searchsorted(p.size << 40 | p.low, s << 40 | rank, side="right") - 1
-            assert p.size[row] == s
-            fill[p.first[row] + (rank - p.low[row]) // p.each[row]] += s
+        for c in p.place(np.full(counts[s], s), np.arange(counts[s])).tolist():
+            fill[c] += s
+            held[c].append(s)
     total = int((counts * np.arange(capacity + 1)).sum())
-    assert fill.max() <= capacity and fill.sum() == total
-    assert p.containers <= 1.1 * -(-total // capacity) + 1
-    assert p.containers * capacity - total <= p.padding
+    assert fill.min() > 0 and fill.max() <= capacity and fill.sum() == total
+    if top_up:
+        assert p.containers <= 1.1 * -(-total // capacity) + 1
+    else:  # a batch has items of one bucket only, as many as the bucket's end allows, and the padding is what the programme found
+        end = lambda s: next(e for e in p.bucket_ends if s <= e)
+        assert all(len({end(s) for s in c}) == 1 and len(c) <= capacity // end(c[0]) for c in held)
+        assert p.containers * capacity - total == p.padding
+
+
+def test_the_plan_rests_on_the_buckets():
+    counts = np.zeros(65, np.int64)
+    counts[[3, 9, 14, 20, 31, 40]] = [50, 7, 30, 12, 25, 8]
+    own, other = packing.plan(counts, 64), packing.plan(counts, 64, ends=[64])
+    assert len(own.bucket_ends) > 1 and own.containers < other.containers
+    assert not np.array_equal(own.first, other.first)
+
+
+def test_hot_lengths_are_ranked_in_windows(spark):
+    df = spark.createDataFrame([(i, "the house sees a cat" if i % 3 else "a cat") for i in range(900)], "doc_id bigint, text string")
+    bins = spark.createDataFrame([("b", 64)], "bin_name string, capacity_tokens int")
+    few, many = packing.packed(df, bins, window=50).collect(), packing.packed(df, bins).collect()
+    fill = {}
+    for r in few:
+        fill[r.container] = fill.get(r.container, 0) + r["size"]
+    assert len(few) == 900 and max(fill.values()) <= 64
+    assert sorted(fill) == list(range(len(fill))) and len(fill) == len({r.container for r in many})
 
 
 def test_buckets_are_optimal():
