@@ -363,19 +363,12 @@ def test_buckets_are_optimal():
 # 9
 
 
-def test_leaks_equal_brute_force():
-    r = random.Random(2)
-    words = [f"w{i}" for i in range(300)]
-    items = [(i, " ".join(r.choice(words) for _ in range(r.randint(6, 400)))) for i in range(12)]
-    docs = []
-    for i in range(60):
-        body = [r.choice(words) for _ in range(r.randint(0, 300))]
-        source = r.choice(items)[1].split()
-        k = r.randint(0, len(source))
-        part = [w if r.random() > 0.05 else "ERR" for w in source[:k]]
-        docs.append(" ".join(body[:50] + part + body[50:]))
-    index = leaks.Index(leaks.passages(items))
-    got = {(d, i) for d, i, _ in index.search(docs)}
+def searched(spark, docs, items):
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    return {(r.doc_id, r.item_id): r.contained for r in leaks.leaks(d, spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+
+
+def brute_leaks(docs, items):
     wanted = set()
     for d, text in enumerate(docs):
         w = text.lower().split()
@@ -385,19 +378,68 @@ def test_leaks_equal_brute_force():
             inside = {j for k in range(len(v) - 5) if tuple(v[k : k + 6]) in runs for j in range(k, k + 6)}
             if 5 * len(inside) >= 2 * len(v):
                 wanted.add((d, i))
-    assert got == wanted and wanted
+    return wanted
 
 
-def test_stock_instructions_are_no_passage():
-    items = [(i, f"Read this page and answer the question below it.\n\nword{i} one two three four five six") for i in range(4)] + [(9, "word1 one two three four five six")]
-    found = leaks.passages(items)
-    assert all("answer" not in p for p in found)
-    assert sorted(found[tuple("word1 one two three four five six".split())]) == [1, 9]
-
-
-def test_case_markup_and_line_division_aside():
-    index = leaks.Index(leaks.passages([(1, "The quick brown fox jumps over one lazy dog")]))
-    assert index.search(["<b>THE quick,</b> brown fox jum-\nps\nover one lazy dog"])[0][:2] == (0, 1)
+@pytest.mark.parametrize("sent", [leaks.SENT, 0])
+def test_leaks_equal_brute_force(spark, monkeypatch, sent):
+    monkeypatch.setattr(leaks, "SENT", sent)
+    r = random.Random(2)
+    words = [f"w{i}" for i in range(300)]
+    items = [(i, " ".join(r.choice(words) for _ in range(r.randint(6, 400)))) for i in range(12)]
+    docs = []
+    for i in range(60):
+        body = [r.choice(words) for _ in range(r.randint(0, 300))]
+        source = r.choice(items)[1].split()
+        k = r.randint(0, len(source))
+        part = [w if r.random() > 0.05 else "ERR" for w in source[:k]]
+        docs.append(" ".join(body[:50] + part + body[50:]))
+    wanted = brute_leaks(docs, items)
+    assert set(searched(spark, docs, items)) == wanted and wanted
+
+
+def test_recall_of_items_of_all_sizes(spark):
+    """Items of 10 to 50 000 words, each barely leaking: runs of six words, which share the fewest shingles."""
+    r = random.Random(7)
+    items, docs = [], []
+    for size in (10, 30, 60, 120, 300, 1000, 5000, 50_000):
+        for _ in range(3 if size > 1000 else 12):
+            i = len(items)
+            item = [f"i{i}w{r.randrange(10**6)}" for _ in range(size)]
+            items.append((i, " ".join(item)))
+            runs = -(-2 * size // 30) + (size > 60)
+            at = [k * (size // runs) for k in range(runs)]
+            docs.append(" ".join(x for k in at for x in (*item[k : k + 6], f"d{r.randrange(10**6)}", "x")))
+    wanted = brute_leaks(docs, items)
+    assert len(wanted) == len(items)
+    assert len(set(searched(spark, docs, items)) & wanted) >= 0.99 * len(wanted)
+    rows = leaks.grams(spark.createDataFrame(items, "passage bigint, body string"))
+    kept = {r.size: r.kept for r in rows.groupBy("size").agg((F.count("class") / F.count("*")).alias("kept")).collect()}
+    assert kept[10] == 1 and 0.5 < kept[120] < 0.95 and kept[50_000] < 0.01  # the sketches of large items are small
+
+
+def test_least_shared_shingles():
+    assert leaks.least_shared([1] * 95, 100) == 7
+    assert leaks.least_shared([1] * 5, 10) == 1
+    assert leaks.least_shared([95], 100) == 1
+
+
+def test_filter_stops_none_of_its_own():
+    h = np.random.default_rng(1).integers(0, 2**63, 3000, dtype=np.uint64)
+    f = leaks.Filter(17)
+    f.add(h[:1500])
+    assert f.has(h[:1500]).all() and f.has(h[1500:]).mean() < 0.01
+
+
+def test_stock_instructions_are_no_passage(spark):
+    items = [(i, f"Answer the question below in one word.\n\nword{i} one two three four five six") for i in range(1, 5)] + [(9, "word1 one two three four five six")]
+    found = leaks.bodies(spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert all("answer" not in r.body for r in found)
+    assert len({r.passage for r in found if r.item_id in (1, 9)}) == 1
+
+
+def test_case_markup_and_line_division_aside(spark):
+    assert (0, 1) in searched(spark, ["<b>THE quick,</b> brown fox jum-\nps\nover one lazy dog"], [(1, "The quick brown fox jumps over one lazy dog")])
 
 
 # 10
