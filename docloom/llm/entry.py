@@ -54,6 +54,10 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repetitive(table(spark, d, "extracted_docs"), "ext_id", "markdown")
 
 
+def p5_beyond_limits(spark: SparkSession, d: str) -> DataFrame:
+    return repetition.repetitive(table(spark, d, "extracted_docs"), "ext_id", "markdown", repetition.MOST_REPEATED)
+
+
 def p5_repetition(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repetition(table(spark, d, "extracted_docs"), "ext_id", "markdown")
 
@@ -78,6 +82,10 @@ def p7_cutoffs(spark: SparkSession, d: str) -> DataFrame:
     return cutoffs.cutoffs(table(spark, d, "doc_results"), table(spark, d, "keep_targets"))
 
 
+def p7_optimality(spark: SparkSession, d: str) -> DataFrame:
+    return cutoffs.optimality(table(spark, d, "doc_results"), table(spark, d, "keep_targets"))
+
+
 def p8_packed(spark: SparkSession, d: str) -> DataFrame:
     return packing.packed(table(spark, d, "documents"), table(spark, d, "pack_bins"))
 
@@ -116,7 +124,7 @@ c AS (SELECT source, extract_backend, keep_percent, any_value(n) n_scored,
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_languages, p2_found, p2_mended, p2_paragraphs, p3_found, p4_found, p4_restored, p5_found, p5_repetition, p6_found, p6_statistics, p6_miscounted, p7_found, p7_cutoffs, p8_packed, p8_report, p9_found, p9_leak_report, p10_found, p10_levels)}
+    return {f.__name__: f for f in (p1_found, p1_languages, p2_found, p2_mended, p2_paragraphs, p3_found, p4_found, p4_restored, p5_found, p5_repetition, p5_beyond_limits, p6_found, p6_statistics, p6_miscounted, p7_found, p7_cutoffs, p7_optimality, p8_packed, p8_report, p9_found, p9_leak_report, p10_found, p10_levels)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -125,4 +133,8 @@ def oracle_sql() -> dict[str, str]:
             WHERE length(coalesce(markdown, '')) <> coalesce(markdown_chars, 0)""",
         "p7_found": _KEPT + "SELECT DISTINCT result_id FROM r JOIN c USING (source, extract_backend) WHERE quality_score >= cutoff",
         "p7_cutoffs": _KEPT + "SELECT source, extract_backend, c.keep_percent, c.n_scored, cutoff, count(*) n_kept FROM r JOIN c USING (source, extract_backend) WHERE quality_score >= cutoff GROUP BY ALL",
+        "p7_optimality": _KEPT
+        + """SELECT source, extract_backend, cutoff, round(sum(CASE WHEN quality_score >= cutoff THEN (100 - c.keep_percent) * (quality_score - cutoff) ELSE c.keep_percent * (cutoff - quality_score) END), 4) loss,
+            (c.keep_percent * count(*) - 100 * count(*) FILTER (WHERE quality_score >= cutoff))::BIGINT slope_below, (c.keep_percent * count(*) - 100 * count(*) FILTER (WHERE quality_score > cutoff))::BIGINT slope_above
+            FROM r JOIN c USING (source, extract_backend) GROUP BY source, extract_backend, cutoff, c.keep_percent""",
     }

@@ -287,12 +287,23 @@ def test_cutoff_is_the_order_statistic(spark, keep):
 
 def test_pinball_loss_is_convex_with_its_subgradient():
     values = sorted([0.1, 0.4, 0.4, 0.9, 1.3])
-    buckets = [(1, v) for v in values]
-    direct = lambda c: sum(0.7 * (v - c) if v >= c else 0.3 * (c - v) for v in values)
+    direct = lambda c: sum(70 * (v - c) if v >= c else 30 * (c - v) for v in values)
     for split, c in ((1, 0.3), (3, 0.6), (4, 1.0)):
-        loss, slope = cutoffs.pinball_loss(c, buckets, split, 0.3)
+        loss, slope = cutoffs.pinball_loss(c, 5, sum(values), 5 - split, sum(values[split:]), 30)
         assert loss == pytest.approx(direct(c))
-        assert slope == pytest.approx((direct(c + 1e-6) - direct(c)) / 1e-6, abs=1e-4)
+        assert slope == pytest.approx((direct(c) - direct(c - 1e-6)) / 1e-6, abs=1e-3)
+
+
+def test_a_cutoff_has_the_least_loss(spark):
+    r = random.Random(5)
+    scores = [round(r.lognormvariate(0, 2), 3) for _ in range(400)]
+    results = spark.createDataFrame([(i, "a", "b", s) for i, s in enumerate(scores)], "result_id bigint, source string, extract_backend string, quality_score double")
+    for keep in (3, 50, 90):
+        targets = spark.createDataFrame([("a", "b", keep)], "source string, extract_backend string, keep_percent int")
+        row = cutoffs.optimality(results, targets).first()
+        losses = {c: sum((100 - keep) * (s - c) if s >= c else keep * (c - s) for s in scores) for c in set(scores)}
+        assert row.loss == pytest.approx(min(losses.values())) and losses[row.cutoff] == pytest.approx(row.loss)
+        assert row.slope_below <= 0 < row.slope_above
 
 
 # 8
