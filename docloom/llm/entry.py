@@ -110,6 +110,10 @@ def p10_levels(spark: SparkSession, d: str) -> DataFrame:
     return reading.levels(table(spark, d, "documents"), table(spark, d, "level_samples"))
 
 
+def p10_fit(spark: SparkSession, d: str) -> DataFrame:
+    return reading.likelihoods(table(spark, d, "documents"), table(spark, d, "level_samples"))
+
+
 _KEPT = """
 WITH s AS (SELECT DISTINCT result_id, source, extract_backend, quality_score FROM doc_results
            WHERE quality_score IS NOT NULL AND quality_score::VARCHAR <> 'nan'),
@@ -124,7 +128,7 @@ c AS (SELECT source, extract_backend, keep_percent, any_value(n) n_scored,
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_languages, p2_found, p2_mended, p2_paragraphs, p3_found, p4_found, p4_restored, p5_found, p5_repetition, p5_beyond_limits, p6_found, p6_statistics, p6_miscounted, p7_found, p7_cutoffs, p7_optimality, p8_packed, p8_report, p9_found, p9_leak_report, p10_found, p10_levels)}
+    return {f.__name__: f for f in (p1_found, p1_languages, p2_found, p2_mended, p2_paragraphs, p3_found, p4_found, p4_restored, p5_found, p5_repetition, p5_beyond_limits, p6_found, p6_statistics, p6_miscounted, p7_found, p7_cutoffs, p7_optimality, p8_packed, p8_report, p9_found, p9_leak_report, p10_found, p10_levels, p10_fit)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -463,7 +463,8 @@ def test_held_out_levels(spark, tiny_dir):
     for fold in range(4):
         model = reading.Model(reading._sample_counts([r for r in rows if r.sample_id % 4 != fold]))
         test = [r for r in rows if r.sample_id % 4 == fold and len(r.text.split()) >= reading.MIN_WORDS]
-        for r, ll in zip(test, model.score([r.text for r in test])[0], strict=True):
+        block = reading.Words([r.text for r in test])
+        for r, ll in zip(test, model.score(block.rows(model), block.sizes), strict=True):
             ll = ll.reshape(-1, reading.LEVELS)
             right += int(ll[ll.max(1).argmax()].argmax()) + 1 == r.reading_level
             total += 1
@@ -473,11 +474,27 @@ def test_held_out_levels(spark, tiny_dir):
 def test_alternation_uses_all_documents(spark):
     samples = spark.createDataFrame([(1, "en", 1, "cat dog sun tree house " * 8), (2, "en", 4, "theorem covariance taxonomy lemma " * 8)], "sample_id bigint, lang string, reading_level int, text string")
     docs = spark.createDataFrame([(i, "theorem covariance taxonomy lemma quadrature manifold " * 10) for i in range(6)], "doc_id bigint, text string")
-    model = reading.fit(docs, samples)
-    assert "quadrature" in model.ids and "quadrature" not in reading.fit(docs, samples, rounds=0).ids
+    model = reading.fit(docs, samples)[0]
+    assert "quadrature" in model.ids and "quadrature" not in reading.fit(docs, samples, rounds=0)[0].ids
     assert {r.reading_level for r in reading.levels(docs, samples).collect()} == {4}
 
 
+def test_alternation_raises_the_likelihood_until_it_converges(spark, tiny_dir):
+    docs, samples = (spark.read.parquet(f"{tiny_dir}/{n}.parquet") for n in ("documents", "level_samples"))
+    told = [r.log_likelihood for r in reading.likelihoods(docs, samples).orderBy("round").collect()]
+    assert len(told) > 1 and told[-1] >= told[0]
+    assert len(told) == reading.ROUNDS - 1 or told[-1] - told[-2] < reading.TOLERANCE
+
+
+def test_other_languages_leave_difficulties_alone(spark, tiny_dir):
+    docs, samples = (spark.read.parquet(f"{tiny_dir}/{n}.parquet") for n in ("documents", "level_samples"))
+    own = docs.where("lang = 'en'").select("doc_id", "text")
+    more = spark.range(2000).selectExpr("id + 10000000 doc_id", "concat_ws(' ', transform(sequence(1, 60), i -> concat('ord', (id * 7 + i * i) % 900, 'et'))) text").withColumn("text", F.translate("text", "0123456789", "abcdefghij"))
+    level = lambda df: {r.doc_id: r.reading_level for r in reading.levels(df, samples).collect()}
+    alone, beside = level(own), level(own.unionByName(more))
+    assert alone and alone == {k: beside[k] for k in alone}
+
+
 def test_hot_group_of_copies(spark):
     """A third of all rows in one group: results stay whole."""
     rows = [(i, "same text of many words that is copied again and again here") for i in range(300)] + [(i, f"other text number {i} of many different words") for i in range(300, 900)]
