@@ -88,6 +88,8 @@ def earlier(order: np.ndarray, common: np.ndarray, size: int) -> np.ndarray:
     into the interval around it.
     """
     longest = np.zeros(size, np.int64)
+    if not len(order):
+        return longest
     at, depth = order.tolist(), [*common[1:].tolist(), 0]
     open_: list[tuple[int, int]] = []  # (common prefix, leftmost position) of the intervals around the place
     for node, d in zip(at, depth, strict=True):

@@ -227,6 +227,9 @@ def test_repetition_equals_brute_force():
     texts = ["", "a " * 30, "<td>x</td> " * 9] + [" ".join(r.choice("abcdef") for _ in range(r.randint(0, 50))) for _ in range(40)] + ["".join(r.choice(["该", "的", "机", "a ", "b "]) for _ in range(50)) for _ in range(20)]
     m = repetition.measure(texts)
     assert [(m["words"][i], m["repeated"][i], m["longest"][i]) for i in range(len(texts))] == [brute_repetition(t) for t in texts]
+    for t in ("", "no word twice", "one two one two", "a b c d e f a b c d e f"):
+        m = repetition.measure([t])
+        assert (m["words"][0], m["repeated"][0], m["longest"][0]) == brute_repetition(t)
 
 
 # 6
