@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.batches import map_texts
+from docloom.llm.languages import code
 
 #: Longer texts are measured in chunks of about so many characters, which meet again in groups of FAN.
 CHUNK, FAN = 64_000, 16
-#: A word is common if at least this share of the records (and COMMON_LEAST of them) hold it.
-COMMON_SHARE, COMMON_LEAST = 1e-3, 3
+#: A word is common if at least COMMON_SHARE of the records of some language (and COMMON_LEAST of them) hold it, or MOST_SHARE (and MOST_LEAST);
+#: of some source's records without a language label, much of which may be junk, only by the latter.
+COMMON_SHARE, COMMON_LEAST, MOST_SHARE, MOST_LEAST = 1e-3, 12, 0.05, 3
 #: Beyond a heading, a list, table or junk record has at most so many sentences; a list or table has so many lines.
 MOST_SENTENCES, LEAST_LINES = 1, 3
 #: A record is without language if at most this share of its words of three letters or more is common.
@@ -202,48 +204,70 @@ _SAFE = re.compile(r"\w (?=\S)")
 
 
 def cut(text: str, size: int = CHUNK) -> list[int]:
-    """Borders of a text's chunks: at a line's start, else after a word and one space, else, in text without any, anywhere."""
+    """Borders of a text's chunks: at a line's start, else after a word and one space, as near to ``size`` as there is one."""
     at = [0]
     while len(text) - at[-1] > size:
         low, high = at[-1] + size // 2, at[-1] + size
         border = text.rfind("\n", low, high) + 1
         if not border:
-            safe = _SAFE.search(text, low, high)
-            border = safe.end() if safe else high
+            safe = _SAFE.search(text, low, high) or _SAFE.search(text, high)
+            line = text.find("\n", high) + 1
+            border = min((x for x in (safe.end() if safe else 0, line) if x), default=len(text))
+        if border >= len(text):
+            break
         at.append(border)
     return [*at, len(text)]
 
 
-def common_words(docs: DataFrame, key: str, text: str) -> frozenset:
-    """Words in at least ``COMMON_SHARE`` of all records: at most (words a record) / COMMON_SHARE, whatever the corpus."""
+#: Begins the names of groups of records without a language label.
+FROM = "from "
+
+
+def _group(label: str | None, source: str | None) -> str:
+    """The language that a record's label means; records without one count with those of their source."""
+    return code(label) or f"{FROM}{source}"
+
+
+def common_words(docs: DataFrame, text: str, lang: str, source: str) -> frozenset:
+    """Words in at least ``COMMON_SHARE`` of the records of some language, or ``MOST_SHARE`` of some source's records without a language label.
+
+    Each group counts by itself, so that a rare language has its common words beside any number of records of others; at
+    most (words a record) / COMMON_SHARE words a group reach the driver, whatever the corpus.
+    """
 
     def make():
-        def f(_, texts):
+        def f(keys, texts):
             sums: Counter = Counter()
-            for t in texts:
-                sums.update({w for w in _WORD.findall(t.lower()) if len(w) > 2 and not _ONE_LETTER.fullmatch(w)})
-            return {"word": list(sums), "n": list(sums.values())}
+            for label, own, t in zip(*keys, texts, strict=True):
+                group = _group(label, own)
+                sums[group, ""] += 1
+                sums.update({(group, w) for w in _WORD.findall(t.lower()) if len(w) > 2 and not _ONE_LETTER.fullmatch(w)})
+            return {"group": [g for g, _ in sums], "word": [w for _, w in sums], "n": list(sums.values())}
 
         return f
 
-    total = docs.count()
-    counts = map_texts(docs.where(F.col(text).isNotNull()), [], text, "word string, n bigint", make).groupBy("word").agg(F.sum("n").alias("n"))
-    return frozenset(r.word for r in counts.where(F.col("n") >= max(COMMON_LEAST, COMMON_SHARE * total)).select("word").toLocalIterator())
+    have = [F.col(c).cast("string").alias(n) if c in docs.columns else F.lit(None).cast("string").alias(n) for c, n in ((lang, "label"), (source, "own"))]
+    rows = docs.where(F.col(text).isNotNull()).select(*have, F.col(text).alias("whole"))
+    counts = map_texts(rows, ["label", "own"], "whole", "group string, word string, n bigint", make).groupBy("group", "word").agg(F.sum("n").alias("n"))
+    totals = counts.groupBy("group").agg(F.max(F.when(F.col("word") == "", F.col("n"))).alias("records"))
+    most = F.greatest(F.lit(MOST_LEAST), F.col("records") * MOST_SHARE)
+    least = F.when(F.col("group").startswith(FROM), most).otherwise(F.least(most, F.greatest(F.lit(COMMON_LEAST), F.col("records") * COMMON_SHARE)))
+    return frozenset(r.word for r in counts.join(totals, "group").where((F.col("word") != "") & (F.col("n") >= least)).select("word").distinct().toLocalIterator())
 
 
 NUMBERS = ("chars", "words", "letters", "symbols", "lines", "ended_lines", "long_words", "common_words", "foreign", "list_lines", "table_lines", "heading_lines", "prose_lines", "sentences")
 
 
 def _partials(docs: DataFrame, key: str, text: str, common) -> DataFrame:
-    """(``key``, chunk, of, state): texts of several chunks are dealt out before they are measured."""
+    """(k, h, chunk, pieces, state): the chunks of huge texts are dealt out, each once, before they are measured; ``h`` tells texts of one key apart."""
 
     def split():
         def f(keys, texts):
-            out = {"k": [], "chunk": [], "pieces": [], "before": [], "piece": [], "after": []}
-            for k, t in zip(keys[0], texts, strict=True):
+            out = {"k": [], "h": [], "chunk": [], "pieces": [], "before": [], "piece": [], "after": []}
+            for k, h, t in zip(*keys, texts, strict=True):
                 at = cut(t)
                 for i, (a, b) in enumerate(zip(at, at[1:], strict=False)):
-                    for n, v in zip(out, (k, i, len(at) - 1, t[a - 1 : a] if a else "", t[a:b], t[b : b + 1]), strict=True):
+                    for n, v in zip(out, (k, h, i, len(at) - 1, t[a - 1 : a] if a else "", t[a:b], t[b : b + 1]), strict=True):
                         out[n].append(v)
             return out
 
@@ -253,28 +277,31 @@ def _partials(docs: DataFrame, key: str, text: str, common) -> DataFrame:
         words = common.value
 
         def f(keys, texts):
-            k, chunk, pieces, before, after = keys
+            k, h, chunk, pieces, before, after = keys
             states = [pickle.dumps(measure(t, words, b, a)) for t, b, a in zip(texts, before, after, strict=True)]
-            return {"k": k, "chunk": chunk, "pieces": pieces, "state": states}
+            return {"k": k, "h": h, "chunk": chunk, "pieces": pieces, "state": states}
 
         return f
 
-    schema = "k bigint, chunk bigint, pieces bigint, state binary"
-    single = docs.where(F.coalesce(F.length(text), F.lit(0)) <= CHUNK).select(F.col(key).alias("k"), F.lit(0).cast("bigint").alias("chunk"), F.lit(1).cast("bigint").alias("pieces"), F.lit("").alias("before"), F.lit("").alias("after"), F.col(text).alias("piece"))
-    huge = map_texts(docs.where(F.length(text) > CHUNK).select(key, text), [key], text, "k bigint, chunk bigint, pieces bigint, before string, piece string, after string", split).distinct()
-    keys = ["k", "chunk", "pieces", "before", "after"]
-    return map_texts(single, keys, "piece", schema, make).unionByName(map_texts(huge, keys, "piece", schema, make))
+    schema = "k bigint, h bigint, chunk bigint, pieces bigint, state binary"
+    rows = docs.select(F.col(key).cast("bigint").alias("k"), F.xxhash64(text).alias("h"), F.col(text).alias("piece"))
+    small = F.coalesce(F.length("piece"), F.lit(0)) <= CHUNK
+    single = rows.where(small).select("k", "h", F.lit(0).cast("bigint").alias("chunk"), F.lit(1).cast("bigint").alias("pieces"), F.lit("").alias("before"), F.lit("").alias("after"), "piece")
+    huge = map_texts(rows.where(~small), ["k", "h"], "piece", "k bigint, h bigint, chunk bigint, pieces bigint, before string, piece string, after string", split).repartition("k", "h", "chunk")
+    keys = ["k", "h", "chunk", "pieces", "before", "after"]
+    return map_texts(single, keys, "piece", schema, make).unionByName(map_texts(huge, keys, "piece", schema, make).dropDuplicates(["k", "h", "chunk"]))
 
 
-def statistics(docs: DataFrame, key: str = "ext_id", text: str = "markdown") -> DataFrame:
+def statistics(docs: DataFrame, key: str = "ext_id", text: str = "markdown", lang: str = "lang", source: str = "source") -> DataFrame:
     """One row per distinct record with a key: counts, ratios and is_list, is_table, is_junk.
 
     Columns: ``key``, the counts of ``NUMBERS``, mean_word_length, symbol_ratio, ended_line_share, common_word_share.
     NULL and empty texts have zero counts, NULL ratios and no kind. Texts beyond ``CHUNK`` characters are cut, measured
     piece by piece and merged in groups of ``FAN``; a state remembers whether its borders cut a word, line or block, so
-    the merged numbers are those of the whole text.
+    the merged numbers are those of the whole text. A table without the columns ``lang`` and ``source`` is one group
+    of common words.
     """
-    common = docs.sparkSession.sparkContext.broadcast(common_words(docs, key, text))
+    common = docs.sparkSession.sparkContext.broadcast(common_words(docs, text, lang, source))
     parts = _partials(docs.where(F.col(key).isNotNull()), key, text, common)
 
     def merged(rows: pa.Table) -> pa.Table:
@@ -283,11 +310,11 @@ def statistics(docs: DataFrame, key: str = "ext_id", text: str = "markdown") ->
         while len(states) > 1:
             states = [states[i].merge(states[i + 1]) if i + 1 < len(states) else states[i] for i in range(0, len(states), 2)]
         first = order[0]
-        return pa.table({"k": [first["k"]], "chunk": [first["chunk"]], "pieces": [first["pieces"]], "state": [pickle.dumps(states[0])]}, schema=pa.schema([("k", pa.int64()), ("chunk", pa.int64()), ("pieces", pa.int64()), ("state", pa.binary())]))
+        return pa.table({n: [first[n]] for n in ("k", "h", "chunk", "pieces")} | {"state": [pickle.dumps(states[0])]}, schema=pa.schema([*((n, pa.int64()) for n in ("k", "h", "chunk", "pieces")), ("state", pa.binary())]))
 
     many = parts.where("pieces > 1")
-    schema = "k bigint, chunk bigint, pieces bigint, state binary"
-    tier = many.groupBy("k", F.floor(F.col("chunk") / FAN)).applyInArrow(merged, schema).groupBy("k").applyInArrow(merged, schema)
+    schema = "k bigint, h bigint, chunk bigint, pieces bigint, state binary"
+    tier = many.groupBy("k", "h", F.floor(F.col("chunk") / FAN)).applyInArrow(merged, schema).groupBy("k", "h").applyInArrow(merged, schema)
     states = parts.where("pieces = 1").select("k", "state").unionByName(tier.select("k", "state"))
 
     def finish(batches):

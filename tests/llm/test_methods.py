@@ -277,6 +277,33 @@ def test_huge_texts_are_cut_and_merged(spark, monkeypatch):
 # 7
 
 
+def test_common_words_of_a_rare_language(spark):
+    """Records of another language and source, however many, leave a record's kind alone."""
+    dutch = "De oude molenaar vertelde zijn buren dat het graan dit jaar veel later rijp zou worden. Niemand geloofde hem eerst, maar de oogst kwam inderdaad pas in de herfst binnen."
+    rows = [(i, dutch, "nl", "a") for i in range(5)] + [(10 + i, dutch, None, "c") for i in range(5)]
+    more = [(1000 + i, "The miller told his neighbours that the grain would ripen late this year. Nobody believed him.", "en", "b") for i in range(12_000)]
+    schema = "ext_id bigint, markdown string, lang string, source string"
+    few, many = (spark.createDataFrame(x, schema) for x in (rows, rows + more))
+    of = lambda df: {r.ext_id: tuple(r) for r in quality.statistics(df).where("ext_id < 1000").collect()}
+    alone = of(few)
+    assert alone == of(many) and not any(r[quality_column("is_junk", few)] for r in alone.values())
+
+
+def quality_column(name, df):
+    return quality.statistics(df).columns.index(name)
+
+
+def test_texts_without_a_space_are_measured_whole():
+    for text in ("x" * 160_000, "机" * 160_000, "word." * 40_000, "a b " * 40_000 + "y" * 90_000):
+        at = quality.cut(text)
+        common = frozenset({"word"})
+        state = None
+        for a, b in zip(at, at[1:], strict=False):
+            own = quality.measure(text[a:b], common, text[a - 1 : a] if a else "", text[b : b + 1])
+            state = state.merge(own) if state else own
+        assert state.finish() == quality.measure(text, common).finish()
+
+
 @pytest.mark.parametrize("keep", [0, 1, 33, 50, 99, 100])
 def test_cutoff_is_the_order_statistic(spark, keep):
     r = random.Random(keep)
