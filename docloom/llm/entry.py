@@ -42,6 +42,21 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return a.select(F.lit("extracted_docs").alias("rec_table"), "id_a", "id_b").unionByName(b.select(F.lit("segments").alias("rec_table"), "id_a", "id_b"))
 
 
+def _both(spark: SparkSession, d: str, f) -> DataFrame:
+    """Rows of an operator over extracted_docs and segments, with the table and rec_id in front."""
+    rows = [(name, key, f(table(spark, d, name), key, text)) for name, key, text in (("extracted_docs", "ext_id", "markdown"), ("segments", "seg_id", "content"))]
+    a, b = (df.select(F.lit(name).alias("rec_table"), F.col(key).alias("rec_id"), *(c for c in df.columns if c != key)) for name, key, df in rows)
+    return a.unionByName(b)
+
+
+def p3_one_form(spark: SparkSession, d: str) -> DataFrame:
+    return _both(spark, d, lookalikes.normalized)
+
+
+def p3_classes(spark: SparkSession, d: str) -> DataFrame:
+    return _both(spark, d, lookalikes.same_looking_classes)
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return encodings.garbled(table(spark, d, "extracted_docs"))
 
@@ -128,7 +143,7 @@ c AS (SELECT source, extract_backend, keep_percent, any_value(n) n_scored,
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_languages, p2_found, p2_mended, p2_paragraphs, p3_found, p4_found, p4_restored, p5_found, p5_repetition, p5_beyond_limits, p6_found, p6_statistics, p6_miscounted, p7_found, p7_cutoffs, p7_optimality, p8_packed, p8_report, p9_found, p9_leak_report, p10_found, p10_levels, p10_fit)}
+    return {f.__name__: f for f in (p1_found, p1_languages, p2_found, p2_mended, p2_paragraphs, p3_found, p3_one_form, p3_classes, p4_found, p4_restored, p5_found, p5_repetition, p5_beyond_limits, p6_found, p6_statistics, p6_miscounted, p7_found, p7_cutoffs, p7_optimality, p8_packed, p8_report, p9_found, p9_leak_report, p10_found, p10_levels, p10_fit)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -19,12 +19,19 @@ LOOKALIKES = {
     "Greek": ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹαινορυϲϳ", "ABEZHIKMNOPTYXCaivopucj"),
     "Latin": ("ɑɡɩƖ", "agiI"),
     "Armenian": ("օսհոՕՍ", "ouhnOU"),
+    "Cherokee": ("ᎪᎫᎬᎳᎷᎻᏀᏃᏒᏔᏞᏟᏢᏙᏦ", "AJEWMHGZRWLCPVK"),
+    "Lisu": ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU"),
+    "Coptic": ("ⲎⲒⲔⲘⲚⲞⲟⲢⲣⲤⲥⲦⲬ", "HIKMNOoPpCcTX"),
 }
 #: Marks without ink beside the characters of category Cf.
 INVISIBLE = "͏ᅟᅠ឴឵᠋᠌᠍᠎⠀ㅤﾠ﻿­"
 #: Forms whose compatibility reading is the same sign in another width or joined with its neighbour.
 SAME_FORMS = ("<wide>", "<narrow>", "<font>")
-LIGATURES = range(0xFB00, 0xFB50)
+LIGATURES, NUMERALS = range(0xFB00, 0xFB50), range(0x2160, 0x2180)
+#: Format characters with ink, which stand before digits or words and stay.
+INKED = "\u0600\u0601\u0602\u0603\u0604\u0605\u06dd\u070f\u0890\u0891\u08e2\U000110bd\U000110cd"
+#: Characters that compose with the one before them, beside the combining marks: half-width sound marks.
+SOUND = {"\uff9e": "\u3099", "\uff9f": "\u309a"}
 
 
 class ConflictError(ValueError):
@@ -46,7 +53,7 @@ def _rules() -> dict[str, str]:
     for point in range(0x80, sys.maxunicode + 1):
         c = chr(point)
         category = unicodedata.category(c)
-        if category in ("Cn", "Cs", "Co"):
+        if category in ("Cn", "Cs", "Co") or c in INKED:
             continue
         if category == "Cf" or c in INVISIBLE or 0xFE00 <= point <= 0xFE0F or 0xE0100 <= point <= 0xE01EF:
             add(c, "")
@@ -54,8 +61,8 @@ def _rules() -> dict[str, str]:
             add(c, " ")
         elif c in letters:
             add(c, letters[c])
-        elif unicodedata.decomposition(c).startswith(SAME_FORMS) or point in LIGATURES and unicodedata.decomposition(c).startswith("<compat>"):
-            add(c, unicodedata.normalize("NFKC", c))
+        elif unicodedata.decomposition(c).startswith(SAME_FORMS) or (point in LIGATURES or point in NUMERALS) and unicodedata.decomposition(c).startswith("<compat>"):
+            add(c, SOUND.get(c) or unicodedata.normalize("NFKC", c))
         else:  # a precomposed letter follows its base; marks go back on afterwards
             apart = unicodedata.normalize("NFD", c)
             if apart != c and not 0xAC00 <= point < 0xD7A4:
@@ -63,33 +70,74 @@ def _rules() -> dict[str, str]:
     return rules
 
 
-@lru_cache(maxsize=1)
-def compiled() -> tuple[dict[int, str], re.Pattern]:
-    """The transducer: a map of single characters, closed under itself, and a pattern of clusters that need composing.
+class Transducer:
+    """The rules compiled: at each place the longest cluster that has a rule, base with its marks and what is invisible between them, gives its one form.
 
-    Raises ``ConflictError`` if the rules disagree, so a changed table can't silently depend on the order of rules.
+    ``single`` maps characters, closed under itself. Clusters of several characters have the form of their composition,
+    worked out once each. Raises ``ConflictError`` if the rules disagree, so a changed table can't silently depend on the
+    order of rules.
     """
-    rules = _rules()
-    for c in list(rules):  # a form may hold further characters with a rule, as a wide letter's accent; one level closes
-        rules[c] = "".join(rules.get(x, x) for x in rules[c])
-    for c, form in rules.items():
-        if any(rules.get(x, x) != x for x in form):
-            raise ConflictError(f"U+{ord(c):04X}: {form!r} isn't final")
-    marks = "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0x300, 0x34E), (0x350, 0x36F), (0x1AB0, 0x1AFF), (0x1DC0, 0x1DFF), (0x20D0, 0x20FF), (0x3099, 0x309A), (0xFE20, 0xFE2F)))
-    return {ord(c): form for c, form in rules.items()}, re.compile(f".[{marks}]+", re.DOTALL)
+
+    def __init__(self):
+        rules = _rules()
+        for c in list(rules):  # a form may hold further characters with a rule, as a wide letter's accent; one level closes
+            rules[c] = "".join(rules.get(x, x) for x in rules[c])
+        for c, form in rules.items():
+            if any(rules.get(x, x) != x for x in form):
+                raise ConflictError(f"U+{ord(c):04X}: {form!r} isn't final")
+        self.single = {ord(c): form for c, form in rules.items()}
+        joining = [*(chr(k) for a, b in MARKS for k in range(a, b + 1)), *SOUND]
+        silent = [c for c, form in rules.items() if form == "" and c not in joining]
+        changed = [c for c, form in rules.items() if form != c and form != "" and c not in joining]
+        joins, none, change = _charset(joining), _charset(silent), _charset(changed)
+        # a cluster has a mark; else a run of characters that each have a form of their own, without the base of a cluster
+        self.pattern = re.compile(f"[^{joins}{none}][{none}]*[{joins}][{joins}{none}]*|[{change}{none}]+(?![{none}]*[{joins}])|[{change}{none}]|[{joins}]+")
+        # a text without marks has no clusters: the same transducer without those that begin with any character
+        self.marks, self.runs = re.compile(f"[{joins}]"), re.compile(f"[{change}{none}]+")
+        self.clusters: dict[str, str] = {}
+
+    def _form(self, m: re.Match) -> str:
+        found = m[0]
+        form = self.clusters.get(found)
+        if form is None:
+            form = unicodedata.normalize("NFC", found.translate(self.single))
+            if len(found) <= 8:
+                if len(self.clusters) > 100_000:
+                    self.clusters.clear()
+                self.clusters[found] = form
+        return form
+
+    def __call__(self, text: str) -> str:
+        return (self.pattern if self.marks.search(text) else self.runs).sub(self._form, text)
+
+
+#: Ranges of combining marks that compose with a base or stand on it.
+MARKS = ((0x300, 0x34E), (0x350, 0x36F), (0x1AB0, 0x1AFF), (0x1DC0, 0x1DFF), (0x20D0, 0x20FF), (0x3099, 0x309A), (0xFE20, 0xFE2F))
+
+
+def _charset(characters: list[str]) -> str:
+    """The inside of a pattern's set of characters, as ranges."""
+    spans: list[list[int]] = []
+    for k in sorted(map(ord, characters)):
+        if spans and k == spans[-1][1] + 1:
+            spans[-1][1] = k
+        else:
+            spans.append([k, k])
+    return "".join(re.escape(chr(a)) + "-" + re.escape(chr(b)) for a, b in spans)
+
+
+@lru_cache(maxsize=1)
+def compiled() -> Transducer:
+    return Transducer()
 
 
 def one_form(text: str) -> str:
-    """The text in its one form: the longest cluster of base and marks at each place is replaced in a single left-to-right pass.
+    """The text in its one form: one pass from left to right replaces the longest cluster with a rule at each place.
 
     Widths, ligatures, invisible characters, kinds of space, composition and look-alike letters are unified; case,
     accents, digits, raised digits, punctuation and all other letters stay. ``one_form(one_form(t)) == one_form(t)``.
     """
-    if text.isascii():
-        return text
-    single, clusters = compiled()
-    text = text.translate(single)
-    return clusters.sub(lambda m: unicodedata.normalize("NFC", m[0]), text) if clusters.search(text) else text
+    return text if text.isascii() else compiled()(text)
 
 
 _ALIKE = "".join(olds for olds, _ in LOOKALIKES.values())
@@ -103,16 +151,9 @@ _FOREIGN = re.compile(f"(?![{_ALIKE}])[Ͱ-ԯ]")
 @lru_cache(maxsize=1)
 def _plain() -> tuple[dict[int, str], re.Pattern]:
     """The transducer without the look-alikes' rules, and a pattern that finds whether it has anything to do."""
-    single, _ = compiled()
     alike = set(_ALIKE)
-    rules = {k: v for k, v in single.items() if v != chr(k) and unicodedata.normalize("NFD", chr(k))[0] not in alike}
-    spans: list[list[int]] = []
-    for k in sorted([*rules, *range(0x300, 0x370)]):
-        if spans and k == spans[-1][1] + 1:
-            spans[-1][1] = k
-        else:
-            spans.append([k, k])
-    return rules, re.compile("[" + "".join(re.escape(chr(a)) + "-" + re.escape(chr(b)) for a, b in spans) + "]")
+    rules = {k: v for k, v in compiled().single.items() if v != chr(k) and unicodedata.normalize("NFD", chr(k))[0] not in alike}
+    return rules, re.compile("[" + _charset([chr(k) for k in {*rules, *range(0x300, 0x370)}]) + "]")
 
 
 def _own_script(m: re.Match) -> str:
@@ -120,7 +161,7 @@ def _own_script(m: re.Match) -> str:
     word = m[0]
     foreign = _FOREIGN.search(word)
     if not foreign:
-        return word.translate(compiled()[0])
+        return word.translate(compiled().single)
     back = _BACK["Cyrillic" if foreign[0] >= "Ѐ" else "Greek"]
     return word.translate(back) if all(ord(c) in back for c in word if c.isascii()) else word
 
@@ -138,7 +179,7 @@ def readable(text: str) -> str:
     if _MEETS.search(text):
         text = _MIXED.sub(_own_script, text)
     if _ALONE.search(text) and len(_FOREIGN.findall(text)) < 5:
-        text = _ALONE.sub(lambda m: m[0].translate(compiled()[0]), text)
+        text = _ALONE.sub(lambda m: m[0].translate(compiled().single), text)
     return text
 
 
@@ -169,6 +210,31 @@ def forms(docs: DataFrame, key: str, text: str) -> DataFrame:
     return map_texts(docs, [key], text, "k bigint, raw bigint, form_hi bigint, form_lo bigint", make).withColumnRenamed("k", key).distinct()
 
 
+def normalized(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Per distinct record: ``key`` and one_form, the text in its one form; NULL texts give ''; records without a key give no row."""
+
+    def make():
+        def f(keys, texts):
+            at = [i for i, k in enumerate(keys[0]) if k is not None]
+            return {"k": [keys[0][i] for i in at], "one_form": [one_form(texts[i]) for i in at]}
+
+        return f
+
+    return map_texts(docs, [key], text, "k bigint, one_form string", make).withColumnRenamed("k", key).dropDuplicates([key])
+
+
+def same_looking_classes(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Records whose texts look like another's of other characters: ``key``, class_id (the least key of its class) and n_texts, the different raw texts in the class.
+
+    The form for classes too large to pair: one row a record, partial aggregates by the hash of the one form only.
+    """
+    found = forms(docs, key, text)
+    by = ["form_hi", "form_lo"]
+    raws = found.groupBy(*by, "raw").agg(F.min(key).alias("least"))
+    classes = raws.groupBy(*by).agg(F.count("*").alias("n_texts"), F.min("least").alias("class_id")).where("n_texts > 1")
+    return found.join(classes, by).select(key, "class_id", "n_texts").distinct()
+
+
 def same_looking_pairs(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Pairs id_a < id_b of records whose texts look the same but are not the same characters.
 

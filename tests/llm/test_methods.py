@@ -141,6 +141,15 @@ def test_paragraphs_go_on_across_runs_of_segments(spark, pages):
         ("x2", "x²", False),
         ("a-b", "a‐b", False),
         ("a  b", "a b", False),
+        ("\uff76\uff9e", "\u30ac", True),
+        ("e\u200b\u0301", "\u00e9", True),
+        ("\uff43\u0327a", "\u00e7a", True),
+        ("\u13aa\u216c", "AL", True),
+        ("\ua4d0\u2c9fx", "Box", True),
+        ("\u06001", "1", False),
+        ("\u06dd1", "1", False),
+        ("\u0441\u0301", "\u0107", True),
+        ("\u0438", "u", False),
     ],
 )
 def test_one_form(a, b, same):
