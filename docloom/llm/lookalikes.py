@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.batches import map_texts
+from docloom.session import cut_lineage
 
 #: Letters of other scripts and the Latin letters that they look like.
 LOOKALIKES = {
@@ -228,7 +229,7 @@ def same_looking_classes(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     The form for classes too large to pair: one row a record, partial aggregates by the hash of the one form only.
     """
-    found = forms(docs, key, text)
+    found = cut_lineage(forms(docs, key, text))
     by = ["form_hi", "form_lo"]
     raws = found.groupBy(*by, "raw").agg(F.min(key).alias("least"))
     classes = raws.groupBy(*by).agg(F.count("*").alias("n_texts"), F.min("least").alias("class_id")).where("n_texts > 1")
@@ -242,7 +243,7 @@ def same_looking_pairs(docs: DataFrame, key: str, text: str) -> DataFrame:
     first. In the rest different raw texts are paired, once each whatever their copies, and then their records: copies of
     one raw text never meet. Keys are hashes, and a skewed group is split by adaptive execution.
     """
-    found = forms(docs, key, text)
+    found = cut_lineage(forms(docs, key, text))
     by = ["form_hi", "form_lo"]
     varied = found.groupBy(*by).agg((F.min("raw") != F.max("raw")).alias("varied")).where("varied").select(*by)
     left = found.join(varied, by)
