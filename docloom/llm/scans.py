@@ -18,8 +18,10 @@ RATIO, MATE = 25, 40
 PART, PART_SHARE = 12, 2e-5
 #: Words below this count don't reach the driver, whatever the corpus; in judgements their count is the most that it can be.
 MIN_COUNT = 2
-#: A header's masked form stands in at least so many records (and this share of them), so often on its own.
-HEADER_COUNT, HEADER_SHARE, HEADER_ALONE = 4, 2e-4, 0.25
+#: A form with so many uses is a misreading only if this share of them has a neighbour that its mate has on that side as well.
+USES, SUPPORTED = 4, 0.3
+#: A header's masked form stands on so many lines of some source (and on so many for each of its records), so often on its own.
+HEADER_COUNT, HEADER_SHARE, HEADER_ALONE = 4, 1e-3, 0.25
 #: A word with less than this share of its uses in one language is a name; a word in this share of all short lines by themselves is part of headers.
 NAME_SHARE, HEAD_SHARE = 0.6, 0.01
 #: Keys of the counts of lower-case uses and of words in short lines by themselves, beside those of languages.
@@ -104,6 +106,11 @@ class Words:
                         mates[s] = (w, n)
                 if n > best.get(w, (0, ""))[0]:
                     best[w] = (n, lang)
+        #: Forms used often enough to have contexts, with the word that they may be misread from.
+        self.contested = {lang: {w: m[0] for w, n in c.items() if n >= USES and w.isalpha() and (m := self.mates[lang].get(skeleton(w))) and m[0] != w and m[1] >= RATIO * (n + 1)} for lang, c in self.counts.items()}
+        #: Of these, the ones whose neighbours are not those of that word: words of their own.
+        self.unsupported: set[tuple[str, str]] = set()
+        self.mates_of = {lang: set(by.values()) for lang, by in self.contested.items()}
         self.home = {w: lang for w, (n, lang) in best.items() if n >= PART and len(w) > 1 and w.isalpha()}
         # names stand in texts of all languages, and never in lower case; words that many headers share are kept
         own = {w for w in self.home if 2 * lower[w] >= self.total[w] or best[w][0] >= NAME_SHARE * self.total[w]}
@@ -129,7 +136,7 @@ class Words:
         other = self.home.get(low, lang)
         if other != lang and self.counts[other][low] >= 10 * self.part[other]:
             return None
-        if mate and mate[0] != low and mate[1] >= RATIO * (own + 1) and self.total[mate[0]] >= RATIO * max(own, self.total[low]) and len(low) > 1 + capital:
+        if mate and mate[0] != low and (lang, low) not in self.unsupported and mate[1] >= RATIO * (own + 1) and self.total[mate[0]] >= RATIO * max(own, self.total[low]) and len(low) > 1 + capital:
             return "name" if capital and (lang != "de" or len(low) < 7) else "misread", mate[0]
         if (self.total[low] - own) * 4 >= own + 2:  # a word of another language, or a name, which all languages have
             return None
@@ -353,8 +360,8 @@ def _flow(lines: list[str], found: list[tuple[str, str, str]]) -> str:
     return re.sub(r"\S+", one, text)
 
 
-#: Segments of a document are windowed in runs of so many, each with so many before it for its borders.
-RUN, BEFORE = 512, 16
+#: Segments of a document are windowed in runs of so many.
+RUN = 512
 
 
 def mended_records(docs: DataFrame, key: str, text: str, pages) -> DataFrame:
@@ -372,12 +379,12 @@ def mended_records(docs: DataFrame, key: str, text: str, pages) -> DataFrame:
     return map_texts(docs, [key], text, "k bigint, mended string", make).withColumnRenamed("k", key).distinct()
 
 
-def paragraphs(segments: DataFrame, pages) -> DataFrame:
+def paragraphs(segments: DataFrame, pages, run: int = RUN) -> DataFrame:
     """Per distinct segment: seg_id, mended, para_id (the seg_id of the segment that its paragraph begins in).
 
     A segment goes on from the one before it in its document, headers and page numbers aside, if that ends within a word
-    or sentence and this begins in lower case. Windows run over ``RUN`` segments of a document at a time, so a document
-    that holds much of the table is many windows; a run sees the ``BEFORE`` segments before it.
+    or sentence and this begins in lower case. Windows run over ``run`` segments of a document at a time, so a document
+    that holds much of the table is many windows; what the runs before it leave open, one row a run, goes over to the next.
     """
 
     def make():
@@ -389,17 +396,33 @@ def paragraphs(segments: DataFrame, pages) -> DataFrame:
         return f
 
     keys = ["sha256", "backend", "seg_index", "seg_id"]
-    rows = map_texts(segments.where("seg_id IS NOT NULL"), keys, "content", "sha256 string, backend string, seg_index int, seg_id bigint, mended string", make).distinct()
-    run = F.floor(F.col("seg_index") / RUN)
-    ghost = rows.where(F.pmod("seg_index", F.lit(RUN)) >= RUN - BEFORE).withColumn("run", run + 1).withColumn("ghost", F.lit(True))
-    every = rows.withColumn("run", run).withColumn("ghost", F.lit(False)).unionByName(ghost)
-    order = Window.partitionBy("sha256", "backend", "run").orderBy("seg_index", "seg_id")
+    rows = map_texts(segments.where("seg_id IS NOT NULL"), keys, "content", "sha256 string, backend string, seg_index int, seg_id bigint, mended string", make)
+    return joined(cut_lineage(rows.dropDuplicates(["seg_id"])), run)
+
+
+def joined(rows: DataFrame, run: int = RUN) -> DataFrame:
+    """seg_id, mended and para_id of rows (sha256, backend, seg_index, seg_id, mended), see ``paragraphs``."""
+    doc = ["sha256", "backend"]
+    order = Window.partitionBy(*doc, "run").orderBy("seg_index", "seg_id")
     kept = F.when(F.col("mended") != "", F.col("mended"))
+    ends = lambda text: ~text.rlike(r"[.!?…。？！:;][\"”’»)\]]*\s*$")
+    goes_on = lambda before, text: before.isNotNull() & ends(before) & text.rlike(r"^\p{Ll}")
     before = F.last(kept, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    goes_on = kept.isNotNull() & before.isNotNull() & ~before.rlike(r"[.!?…。？！:;][\"”’»)\]]*\s*$") & kept.rlike(r"^\p{Ll}")
-    head = F.when(kept.isNotNull() & ~F.coalesce(goes_on, F.lit(False)), F.col("seg_id"))
-    begun = every.withColumn("head", head)
-    return begun.withColumn("para_id", F.coalesce(F.when(kept.isNotNull(), F.last("head", ignorenulls=True).over(order)), F.col("seg_id"))).where("NOT ghost").select("seg_id", "mended", "para_id")
+    every = rows.withColumn("run", F.floor(F.coalesce("seg_index", F.lit(-1)) / run)).withColumn("before", before)
+    # within a run, the heads that don't depend on the runs before; its first kept segment may go on from these
+    every = every.withColumn("first", kept.isNotNull() & F.col("before").isNull()).withColumn("head", F.when(kept.isNotNull() & F.col("before").isNotNull() & ~goes_on(F.col("before"), kept), F.col("seg_id")))
+    every = every.withColumn("head", F.last("head", ignorenulls=True).over(order))
+    # one row a run: its first kept text, its last one and its last head
+    place = F.struct("seg_index", "seg_id")
+    own = every.where(kept.isNotNull()).groupBy(*doc, "run").agg(F.min_by("seg_id", place).alias("first_id"), F.min_by("mended", place).alias("first_text"), F.max_by("mended", place).alias("last_text"), F.max_by("head", place).alias("last_head"))
+    runs = Window.partitionBy(*doc).orderBy("run")
+    carried = F.last("last_text").over(runs.rowsBetween(Window.unboundedPreceding, -1))
+    own = own.withColumn("begins", F.when(~F.coalesce(goes_on(carried, F.col("first_text")), F.lit(False)), F.col("first_id")))
+    own = own.withColumn("left", F.last(F.coalesce("last_head", "begins"), ignorenulls=True).over(runs.rowsBetween(Window.unboundedPreceding, -1)))
+    own = own.select(*(F.col(c).alias(f"own_{c}") for c in [*doc, "run"]), F.coalesce("begins", "left").alias("open"))
+    same = [F.col(c).eqNullSafe(F.col(f"own_{c}")) for c in [*doc, "run"]]
+    para = F.when(kept.isNotNull(), F.coalesce("head", "open"))
+    return every.join(own, same, "left").select("seg_id", "mended", F.coalesce(para, F.col("seg_id")).alias("para_id"))
 
 
 def _alone(text: str):
@@ -448,32 +471,85 @@ def word_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
     return parts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def masked_lines(docs: DataFrame, text: str, words) -> DataFrame:
-    """(masked, n, alone): how many lines have a masked form, how many of them stand between blank lines."""
+def _contexts(texts: list[str], labels: list[str | None], words: Words, bares: _Memo, skeletons: _Memo, sums: Counter) -> None:
+    """Add up the neighbours, by their skeletons, of contested forms and, side by side, of the words that they may be misread from."""
+    mates = words.mates_of
+    for label, t in zip(labels, texts, strict=True):
+        lang = code(label) or ""
+        forms, others = words.contested.get(lang), mates.get(lang)
+        if not forms:
+            continue
+        raw = t.split()
+        own = [bares[x].lower() for x in raw]
+        for i, w in enumerate(own):
+            if w in forms:
+                a, b = own[i - 1] if i else "", own[i + 1] if i + 1 < len(own) else ""
+                if a or b:
+                    sums["form", lang, w, skeletons[a] if a else None, skeletons[b] if b else None] += 1
+            elif w in others:
+                a, b = own[i - 1] if i else "", own[i + 1] if i + 1 < len(own) else ""
+                if a:
+                    sums["mate", lang, w, skeletons[a], None] += 1
+                if b:
+                    sums["mate", lang, w, None, skeletons[b]] += 1
+
+
+def lines_and_contexts(docs: DataFrame, text: str, lang: str, source: str, words) -> DataFrame:
+    """(kind, of, what, a, b, n, alone): lines by source and masked form, how many stand between blank lines; all records by source; forms and their mates by language and neighbours."""
 
     def make():
-        known = words.value.literal
+        model = words.value
+        known, bares, skeletons = model.literal, _Memo(bare), _Memo(skeleton)
 
-        def f(_, texts):
+        def f(keys, texts):
             seen, alone = Counter(), Counter()
-            for t in texts:
+            for own, t in zip(keys[1], texts, strict=True):
+                seen["record", own or "", "", None, None] += 1
                 for line, by_itself in _alone(t):
                     m = mask(line, known)
                     if "@" in m and _WORD.search(m):
-                        seen[m] += 1
-                        alone[m] += by_itself
-            return {"masked": list(seen), "n": list(seen.values()), "alone": [alone[m] for m in seen]}
+                        k = "line", own or "", m, None, None
+                        seen[k] += 1
+                        alone[k] += by_itself
+            _contexts(texts, keys[0], model, bares, skeletons, seen)
+            names = ("kind", "of", "what", "a", "b")
+            return {n: [k[i] for k in seen] for i, n in enumerate(names)} | {"n": list(seen.values()), "alone": [alone[k] for k in seen]}
 
         return f
 
-    return map_texts(docs.where(F.col(text).isNotNull()), [], text, "masked string, n bigint, alone bigint", make).groupBy("masked").agg(F.sum("n").alias("n"), F.sum("alone").alias("alone"))
+    rows = docs.where(F.col(text).isNotNull()).select(*(F.col(c) if c in docs.columns else F.lit(None).cast("string").alias(c) for c in (lang, source)), text)
+    parts = map_texts(rows, [lang, source], text, "kind string, of string, what string, a string, b string, n bigint, alone bigint", make)
+    return parts.groupBy("kind", "of", "what", "a", "b").agg(F.sum("n").alias("n"), F.sum("alone").alias("alone"))
+
+
+def header_forms(sums: DataFrame) -> DataFrame:
+    """(masked): forms of header lines in some source; other sources, however large, don't hide them."""
+    lines = sums.where("kind = 'line'").select("of", F.col("what").alias("masked"), "n", "alone")
+    records = sums.where("kind = 'record'").select("of", F.col("n").alias("records"))
+    least = F.greatest(F.lit(HEADER_COUNT), F.col("records") * HEADER_SHARE)
+    return lines.join(records, "of").where((F.col("n") >= least) & (F.col("alone") >= HEADER_ALONE * F.col("n"))).select("masked").distinct()
+
+
+def unsupported(sums: DataFrame, words: Words) -> DataFrame:
+    """(of, what): contested forms of a language that stand beside other neighbours than the word with their skeleton: they are no misreadings."""
+    pairs = [(lang, w, m) for lang, by in words.contested.items() for w, m in by.items()]
+    mates = sums.sparkSession.createDataFrame(pairs, "of string, what string, mate string")
+    uses = sums.where("kind = 'form'").select("of", "what", "a", "b", "n").join(mates, ["of", "what"])
+    sides = sums.where("kind = 'mate'").select("of", F.col("what").alias("mate"), "a", "b")
+    left = sides.where("a IS NOT NULL").select("of", "mate", "a", F.lit(True).alias("before"))
+    right = sides.where("b IS NOT NULL").select("of", "mate", "b", F.lit(True).alias("after"))
+    held = uses.join(left, ["of", "mate", "a"], "left").join(right, ["of", "mate", "b"], "left")
+    shared = F.sum(F.when(F.col("before") | F.col("after"), F.col("n")).otherwise(0))
+    rows = held.groupBy("of", "what").agg(F.sum("n").alias("uses"), shared.alias("shared"))
+    return rows.where((F.col("uses") >= USES) & (F.col("shared") < SUPPORTED * F.col("uses"))).select("of", "what")
 
 
-def fit(docs: DataFrame, text: str = "markdown", lang: str = "lang") -> Pages:
-    """The frequent words of each language and the masked forms of headers, counted over all records.
+def fit(docs: DataFrame, text: str = "markdown", lang: str = "lang", source: str = "source") -> Pages:
+    """The frequent words of each language, which of their look-alikes are words of their own, and the masked forms of headers.
 
-    The driver gets words and forms with a minimal count; that of words doesn't grow with the corpus, so that a record's
-    verdicts don't change with it.
+    Counted over all records in two passes, the second by what the first found. The driver gets words and forms with a
+    minimal count; that of words doesn't grow with the corpus, that of headers is one of a source's own records, so that a
+    record's verdicts don't change with other records.
     """
     spark = docs.sparkSession
     counts = cut_lineage(word_counts(docs, text, lang))
@@ -481,10 +557,9 @@ def fit(docs: DataFrame, text: str = "markdown", lang: str = "lang") -> Pages:
     for r in counts.where(F.col("n") >= MIN_COUNT).toLocalIterator():
         by[r.lang][r.word] = r.n
     words = Words(by)
-    shared = spark.sparkContext.broadcast(words)
-    least = max(HEADER_COUNT, HEADER_SHARE * docs.count())
-    forms = masked_lines(docs, text, shared).where((F.col("n") >= least) & (F.col("alone") >= HEADER_ALONE * F.col("n")))
-    return Pages(words, frozenset(r.masked for r in forms.toLocalIterator()))
+    sums = cut_lineage(lines_and_contexts(docs, text, lang, source, spark.sparkContext.broadcast(words)))
+    words.unsupported = {(r.of, r.what) for r in unsupported(sums, words).toLocalIterator()}
+    return Pages(words, frozenset(r.masked for r in header_forms(sums).toLocalIterator()))
 
 
 def noisy(docs: DataFrame, key: str, text: str, pages) -> DataFrame:

@@ -124,6 +124,42 @@ def test_paragraphs_go_on_across_runs_of_segments(spark, pages):
     assert got == {610: 610, 611: 611, 612: 612, 613: 611, 614: 614}
 
 
+def test_paragraphs_equal_brute_force_whatever_the_runs(spark):
+    r = random.Random(9)
+    texts = ["", "Ends here.", "begins low and", "Stays open", "low end.", "Of all"]
+    rows = [(d, "mupdf", i, d_no * 1000 + i, r.choice(texts)) for d_no, d in enumerate(("s", "t", None)) for i in range(90)]
+    df = spark.createDataFrame(rows, "sha256 string, backend string, seg_index int, seg_id bigint, mended string")
+    wanted, last, head = {}, {}, {}
+    for d, _, _, k, text in rows:
+        if text:
+            if not (d in last and not last[d].endswith(".") and text[0].islower()):
+                head[d] = k
+            last[d] = text
+            wanted[k] = head[d]
+        else:
+            wanted[k] = k
+    for run in (1, 4, 7, 512):
+        assert {x.seg_id: x.para_id for x in scans.joined(df, run).collect()} == wanted
+
+
+def test_neighbours_tell_misreadings_from_words(spark):
+    """'tbe' stands where 'the' does, 'cbe' never: only the first is a misreading."""
+    text = "Under the old tree sat a child. " * 200 + "Under tbe old tree sat a child. " * 4 + "Nobody knows what stands for cbe exam papers. " * 4
+    docs = spark.createDataFrame([(1, text, "en", "a"), (2, "Under the bridge flows a river.", "en", "b")], "ext_id bigint, markdown string, lang string, source string")
+    words = scans.fit(docs).words
+    assert words.judge("tbe", "en") == ("misread", "the")
+    assert words.judge("cbe", "en") is None and ("en", "cbe") in words.unsupported
+
+
+def test_headers_of_a_source_beside_others(spark):
+    """A header on few pages of a small source stays one beside any number of records of other sources."""
+    schema = "kind string, of string, what string, a string, b string, n bigint, alone bigint"
+    own = [("line", "small", "Vol. # @", None, None, 5, 5), ("record", "small", "", None, None, 20, 0)]
+    other = [("line", "large", "see # @", None, None, 5, 5), ("record", "large", "", None, None, 10**9, 0)]
+    found = lambda rows: {r.masked for r in scans.header_forms(spark.createDataFrame(rows, schema)).collect()}
+    assert found(own) == found(own + other) == {"Vol. # @"}
+
+
 # 3
 
 
