@@ -143,12 +143,12 @@ def test_paragraphs_equal_brute_force_whatever_the_runs(spark):
 
 
 def test_neighbours_tell_misreadings_from_words(spark):
-    """'tbe' stands where 'the' does, 'cbe' never: only the first is a misreading."""
-    text = "Under the old tree sat a child. " * 200 + "Under tbe old tree sat a child. " * 4 + "Nobody knows what stands for cbe exam papers. " * 4
+    """'tbe' stands where 'the' does, 'fbe' never: only the first is a misreading."""
+    text = "Under the old tree sat a child. " * 200 + "Under tbe old tree sat a child. " * 4 + "Nobody knows what stands for fbe exam papers. " * 4
     docs = spark.createDataFrame([(1, text, "en", "a"), (2, "Under the bridge flows a river.", "en", "b")], "ext_id bigint, markdown string, lang string, source string")
     words = scans.fit(docs).words
     assert words.judge("tbe", "en") == ("misread", "the")
-    assert words.judge("cbe", "en") is None and ("en", "cbe") in words.unsupported
+    assert words.judge("fbe", "en") is None and ("en", "fbe") in words.unsupported
 
 
 def test_headers_of_a_source_beside_others(spark):
