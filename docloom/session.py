@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from pathlib import Path
@@ -21,20 +23,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for files that all executors see, in the one that ``spark.checkpoint.dir`` names; a local one only where that is unset."""
+def _shared(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; in local mode, where that is unset, a temporary one that goes with the session.
+
+    A cluster without that setting raises: its executors have no folder in common that we know of.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix=f"docloom-{name}-")
+    if shared:
+        return shared.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    own = tempfile.mkdtemp(prefix="docloom-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    return own
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for files that all executors see (see ``_shared``); whoever asks for it deletes it with ``drop_folder``."""
+    return f"{_shared(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder on whatever file system its path names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path of whatever file system is a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(path) and files.getFileStatus(path).isDirectory()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` with a reliable checkpoint in the folder that ``spark.checkpoint.dir`` names.
+    """Materialise ``df`` with a reliable checkpoint in the shared folder (see ``_shared``).
 
-    A folder of our own is set only where that setting is absent (tests, one machine).
+    With ``spark.cleaner.referenceTracking.cleanCheckpoints`` its files go when nothing refers to it any more.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="docloom-checkpoint-"))
+        context.setCheckpointDir(_shared(spark))
     return df.checkpoint(eager=True)
