@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom import config
 from docloom.functions import geometry, text
 from docloom.operators import curation, features, layout, neardup, reports, review, routing
 from docloom.plans import pipeline
-from docloom.session import table
+from docloom.session import is_folder, table
 from docloom.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -466,7 +467,7 @@ def flags_json_log(spark, d):
 def flags_stream_latest(spark, d):
     schema = table(spark, d, "badcases").schema
     path = f"{d}/badcases.parquet"
-    stream = streams.flags_stream(spark, path if spark._jvm.java.io.File(path).isDirectory() else path + "*", schema)
+    stream = streams.flags_stream(spark, path if is_folder(spark, path) else path + "*", schema)
     return streams.drained(stream, "flags_stream_latest").select("sha256", "is_bad", "stage")
 
 
@@ -540,9 +541,30 @@ def resume_remaining(spark, d):
     return streams.remaining(keys, table(spark, d, "extracted_docs").where("sha256 IS NOT NULL"))
 
 
-@query()
+_RUN_SQL = f"""WITH d AS (SELECT *, {_GUARD} guard FROM router_decisions QUALIFY row_number() OVER (PARTITION BY pdf_path ORDER BY decided_at DESC NULLS LAST, sha256 DESC NULLS LAST) = 1),
+s AS (SELECT * FROM segments WHERE sha256 IS NOT NULL QUALIFY row_number() OVER (PARTITION BY sha256, backend, seg_index) = 1),
+lay AS (SELECT sha256, count(*) n, bool_or(coalesce(seg_type IN ('table', 'formula'), false)) hard FROM s WHERE backend = 'pipeline' OR backend = 'vlm' AND sha256 NOT IN (SELECT sha256 FROM s WHERE backend = 'pipeline') GROUP BY 1),
+r AS (SELECT d.pdf_path, d.sha256, ocr_prob, guard, coalesce(router_error, guard) error_router, CASE WHEN guard IS NOT NULL THEN 'deferred' WHEN ocr_prob < 0.5 THEN 'mupdf' ELSE 'pipeline' END backend, lay.n, lay.hard, num_pages, is_form, garbled_text_ratio, is_encrypted FROM d LEFT JOIN lay USING (sha256)),
+e AS (SELECT *, CASE WHEN backend <> 'mupdf' AND guard IS NULL AND n IS NOT NULL THEN CASE WHEN hard THEN 'deferred' ELSE 'pipeline' END END stage_b FROM r),
+f AS (SELECT *, coalesce(stage_b, backend) extract_backend, guard IS NULL AND (coalesce(stage_b, backend) = 'mupdf' OR coalesce(stage_b, backend) = 'pipeline' AND n IS NOT NULL) runs FROM e),
+m AS (SELECT sha256, backend, {_STRIP % "coalesce(string_agg(c, chr(10) || chr(10) ORDER BY seg_index) FILTER (WHERE c <> ''), '')"} || chr(10) md, count(*) FILTER (WHERE c = '') failures FROM (SELECT *, {_STRIP % "coalesce(content, '')"} c FROM s) GROUP BY 1, 2),
+g AS (SELECT f.*, m.md, m.failures, runs AND m.md IS NULL no_segments FROM f LEFT JOIN m ON f.sha256 = m.sha256 AND f.extract_backend = m.backend AND f.runs),
+q AS (SELECT *, substr({_STRIP % "coalesce(md, '')"}, 1, 10000) t FROM g),
+w AS (SELECT *, CASE WHEN md IS NULL THEN NULL WHEN t = '' THEN 0.0 ELSE round(greatest(0.0, least(3.0, 1.5 * greatest(0.0, least(1.0, coalesce(length(regexp_replace(t, '[^\\p{{L}}]', '', 'g')) / nullif(length(t), 0), 0))) + 1.5 * greatest(0.0, least(1.0, coalesce(len(regexp_extract_all(t, '[.!?。？！]')) * 12 / nullif(len(regexp_extract_all(t, '[\\p{{L}}\\p{{N}}]+')), 0), 0))))), 4) END::DOUBLE score FROM q)
+SELECT pdf_path, sha256, backend, stage_b stage_b_backend, CASE WHEN ocr_prob::VARCHAR <> 'nan' THEN ocr_prob END ocr_prob, num_pages, is_form, garbled_text_ratio, is_encrypted, CASE WHEN stage_b IS NOT NULL THEN 'rules@1' END layout_model, n::INTEGER layout_num_regions, hard layout_has_complex, extract_backend,
+ md5(md) markdown_md5, coalesce(length(md), 0) markdown_chars, score quality_score, CASE WHEN score IS NOT NULL THEN 'rules@1' END quality_model, CASE WHEN guard IS NOT NULL THEN 'router' WHEN no_segments THEN 'extract_' || extract_backend END error_class,
+ CASE WHEN guard IS NOT NULL THEN substr(error_router, 1, 500) WHEN no_segments THEN 'no segments' END error_message, failures::INTEGER region_failures, coalesce(guard IS NULL AND NOT no_segments AND score >= 2.0, false) kept FROM w"""
+
+
+@query(_RUN_SQL)
 def pipeline_run(spark, d):
-    return pipeline.run(table(spark, d, "router_decisions"), table(spark, d, "segments"))
+    rows = pipeline.run(table(spark, d, "router_decisions"), table(spark, d, "segments"))
+    return rows.withColumn("markdown_md5", F.md5("markdown")).drop("markdown", "segments_excerpt", "wall_ms_total")
+
+
+@query()
+def pipeline_run_vlm(spark, d):
+    return pipeline.run(table(spark, d, "router_decisions"), table(spark, d, "segments"), config.build({}, vlm=True))
 
 
 def queries() -> dict[str, Query]:
