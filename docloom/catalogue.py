@@ -161,7 +161,7 @@ def url_email_digit_share(spark, d):
     return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.round(curation.link_share(t), 9).alias("links"), F.round(curation.digit_share(t), 9).alias("digits"))
 
 
-@query("SELECT doc_id FROM documents WHERE length(text) >= CASE lang WHEN 'zh' THEN 200 WHEN 'en' THEN 500 ELSE 0 END")
+@query("SELECT doc_id FROM documents WHERE length(text) >= CASE WHEN regexp_replace(lower(trim(lang)), '[-_].*', '') IN ('zh', 'zho', 'chi', 'chinese') THEN 200 WHEN regexp_replace(lower(trim(lang)), '[-_].*', '') IN ('en', 'eng', 'english') THEN 500 ELSE 0 END")
 def min_length_by_lang(spark, d):
     return table(spark, d, "documents").where(curation.long_enough(F.col("lang"), F.length("text"))).select("doc_id")
 
@@ -327,14 +327,16 @@ def region_type_counts(spark, d):
 
 @query(_RESULTS + f"""SELECT count(*) num_pdfs, count(*) FILTER (WHERE error_class IS NULL AND sha256 IS NOT NULL) num_extracted, count(*) FILTER (WHERE error_class IS NULL AND markdown_chars > 0) num_with_markdown,
  count(*) FILTER (WHERE quality_score::VARCHAR <> 'nan') num_scored, count(error_class) num_errors, count(*) FILTER (WHERE {_KEPT}) num_kept,
- round(sum(quality_score::DECIMAL(28,10)) FILTER (WHERE quality_score::VARCHAR <> 'nan'), 6)::DOUBLE sum_quality, round((sum(quality_score::DECIMAL(28,10)) FILTER (WHERE quality_score::VARCHAR <> 'nan'))::DOUBLE / count(*) FILTER (WHERE quality_score::VARCHAR <> 'nan'), 6) avg_quality FROM r""".replace("quality_score::DECIMAL(28,10)", "(CASE WHEN quality_score::VARCHAR <> 'nan' THEN quality_score END)::DECIMAL(28,10)"))
+ round(sum(quality_score::DECIMAL(28,10)) FILTER (WHERE quality_score::VARCHAR <> 'nan'), 6)::DOUBLE sum_quality, round((sum(quality_score::DECIMAL(28,10)) FILTER (WHERE quality_score::VARCHAR <> 'nan'))::DOUBLE / count(*) FILTER (WHERE quality_score::VARCHAR <> 'nan'), 6) avg_quality,
+ (SELECT '{{' || coalesce(string_agg('"' || b || '":' || n, ',' ORDER BY b), '') || '}}' FROM (SELECT coalesce(extract_backend, backend) b, count(*) n FROM r WHERE backend IS NOT NULL GROUP BY 1)) by_backend,
+ (SELECT '{{' || coalesce(string_agg('"' || b || '":' || n, ',' ORDER BY b), '') || '}}' FROM (SELECT stage_b_backend b, count(*) n FROM r WHERE b IS NOT NULL GROUP BY 1)) by_stage_b FROM r""".replace("quality_score::DECIMAL(28,10)", "(CASE WHEN quality_score::VARCHAR <> 'nan' THEN quality_score END)::DECIMAL(28,10)"))
 def run_summary(spark, d):
     return reports.run_summary(table(spark, d, "doc_results"))
 
 
-@query(_RESULTS + "SELECT coalesce(extract_backend, backend) by_backend, count(*) n FROM r WHERE coalesce(extract_backend, backend) IS NOT NULL GROUP BY 1")
+@query(_RESULTS + "SELECT coalesce(extract_backend, backend) by_backend, count(*) n FROM r WHERE backend IS NOT NULL GROUP BY 1")
 def by_backend(spark, d):
-    return reports.counts_by(table(spark, d, "doc_results"), F.coalesce("extract_backend", "backend"), "by_backend", skip_null=True)
+    return reports.counts_by(table(spark, d, "doc_results"), F.when(F.col("backend").isNotNull(), F.coalesce("extract_backend", "backend")), "by_backend", skip_null=True)
 
 
 @query(_RESULTS + "SELECT stage_b_backend by_stage_b, count(*) n FROM r WHERE stage_b_backend IS NOT NULL GROUP BY 1")
@@ -494,19 +496,35 @@ def near_duplicate_classes(spark, d):
     return neardup.classes(table(spark, d, "documents"))
 
 
-@query(r"""SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}', '⟨PII:email⟩', 'g'),
- '\b(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)\b', '⟨PII:ipv4⟩', 'g'), '\b[1-9]\d{5}(?:19|20)\d{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])\d{3}[\dXx]\b', '⟨PII:cn_id⟩', 'g'), '\b1[3-9]\d{9}\b', '⟨PII:phone⟩', 'g'),
- '\b[0-9A-HJ-NPQRTUWXY]{2}\d{6}[0-9A-HJ-NPQRTUWXY]{10}\b', '⟨PII:uscc⟩', 'g'), '\b[EG]\d{8}\b', '⟨PII:passport⟩', 'g')) digest FROM documents WHERE text IS NOT NULL""")
+_LUHN = "list_sum(list_transform(generate_series(1, len(n)), lambda i: CASE WHEN (len(n) - i) % 2 = 0 THEN n[i]::INTEGER WHEN n[i]::INTEGER > 4 THEN n[i]::INTEGER * 2 - 9 ELSE n[i]::INTEGER * 2 END)) % 10 = 0"
+
+
+def _numbers(column: str) -> str:
+    return f"list_filter({_found(curation.PII['card'], column)}, lambda n: {_LUHN})"
+
+
+def _found(pattern: str, column: str = "text") -> str:
+    return f"regexp_extract_all({column}, '{pattern}')"
+
+
+def _redaction(column: str) -> str:
+    for kind, pattern in curation.PII.items():
+        if kind == "card":
+            column = f"(SELECT list_reduce(list_prepend(x, list_distinct({_numbers('x')})), lambda a, n: replace(a, n, '⟨PII:card⟩')) FROM (SELECT {column} x))"
+        else:
+            column = f"regexp_replace({column}, '{pattern}', '⟨PII:{kind}⟩', 'g')"
+    return column
+
+
+@query(f"SELECT doc_id, md5({_redaction('text')}) digest FROM documents WHERE text IS NOT NULL")
 def pii_redact(spark, d):
     return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.md5(curation.redacted(F.col("text"))).alias("digest"))
 
 
-@query(r"""WITH h AS (SELECT doc_id, 'email' kind, regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}') hits FROM documents UNION ALL
- SELECT doc_id, 'ipv4', regexp_extract_all(text, '\b(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)\b') FROM documents UNION ALL
- SELECT doc_id, 'cn_id', regexp_extract_all(text, '\b[1-9]\d{5}(?:19|20)\d{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])\d{3}[\dXx]\b') FROM documents UNION ALL
- SELECT doc_id, 'phone', regexp_extract_all(text, '\b1[3-9]\d{9}\b') FROM documents UNION ALL SELECT doc_id, 'uscc', regexp_extract_all(text, '\b[0-9A-HJ-NPQRTUWXY]{2}\d{6}[0-9A-HJ-NPQRTUWXY]{10}\b') FROM documents UNION ALL
- SELECT doc_id, 'passport', regexp_extract_all(text, '\b[EG]\d{8}\b') FROM documents)
-SELECT doc_id, kind, len(hits) n, sha256(list_sort(hits)[1]) first_sha FROM h WHERE len(hits) > 0""")
+_HITS = " UNION ALL ".join(f"SELECT doc_id, '{k}' kind, unnest({_numbers('text') if k == 'card' else _found(p)}) hit FROM documents" for k, p in curation.PII.items())
+
+
+@query(f"SELECT doc_id, kind, sha256(hit) sha, count(*) n FROM ({_HITS}) GROUP BY ALL")
 def pii_audit_counts(spark, d):
     return curation.pii_audit(table(spark, d, "documents"), "doc_id", "text")
 
@@ -568,8 +586,12 @@ def pipeline_run_vlm(spark, d):
 
 
 def queries() -> dict[str, Query]:
+    from docloom import surfaces  # noqa: F401  (adds its queries)
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from docloom import surfaces  # noqa: F401
+
     return dict(_SQL)

@@ -155,3 +155,20 @@ def plain_unicode(c: Column) -> Column:
     wide = "".join(chr(0xFF01 + i) for i in range(94)) + "　"
     narrow = "".join(chr(0x21 + i) for i in range(94)) + " "
     return F.regexp_replace(F.translate(c, wide, narrow), r"[\x{00}-\x{08}\x{0B}\x{0C}\x{0E}-\x{1F}\x{7F}\x{AD}\x{200B}-\x{200F}\x{2060}-\x{2064}\x{FEFF}]", "")
+
+
+def utc_text(seconds: Column) -> Column:
+    """Epoch seconds as ISO text in UTC, whatever the session's zone; fractions are cut."""
+    return F.date_format(F.to_utc_timestamp(F.timestamp_seconds(F.floor(seconds)), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def request(url: Column, parameter: str) -> tuple[Column, Column]:
+    """(path without its slash, value of a query parameter) of a request, unquoted."""
+    path = F.try_url_decode(F.regexp_replace(F.parse_url(url, F.lit("PATH")), "^/", ""))
+    return path, F.try_url_decode(F.parse_url(url, F.lit("QUERY"), F.lit(parameter)))
+
+
+def incremented(counts: Column, key: Column, by: int = 1) -> Column:
+    """A map of counts with a key's raised, from 0 where it has none."""
+    n = F.coalesce(F.try_element_at(counts, key), F.lit(0)) + by
+    return F.map_concat(F.map_filter(counts, lambda k, _: k != key), F.create_map(key, n))

@@ -9,6 +9,8 @@ from docloom.functions import text
 
 #: Least characters by language; other languages have no limit.
 LEAST_CHARS = {"zh": 200, "en": 500}
+#: Other names of these languages in labels, whose case and region don't matter.
+NAMES = {"zh": ("zho", "chi", "chinese"), "en": ("eng", "english")}
 #: Personal data by kind, in the order in which they are replaced.
 PII = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
@@ -17,9 +19,16 @@ PII = {
     "phone": r"\b1[3-9]\d{9}\b",
     "uscc": r"\b[0-9A-HJ-NPQRTUWXY]{2}\d{6}[0-9A-HJ-NPQRTUWXY]{10}\b",
     "passport": r"\b[EG]\d{8}\b",
+    "card": r"\b\d{16,19}\b",
+    "ipv6": r"\b(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}\b",
+    "plate": r"[京津沪渝冀豫云辽黑湘皖鲁新苏浙赣鄂桂甘晋蒙陕吉闽贵粤青藏川宁琼][A-Z][A-Z0-9]{5,6}\b",
 }
 
 
+#: Texts without any of this hold no personal data: a sign of mail or address, eight digits and letters in a row, a plate's region.
+MAY_HOLD = r"@|[0-9A-Z]{8}|\d\.\d|[0-9A-Fa-f]:[0-9A-Fa-f]|\d{8}|[京津沪渝冀豫云辽黑湘皖鲁新苏浙赣鄂桂甘晋蒙陕吉闽贵粤青藏川宁琼][A-Z]"
+
+
 def luhn(digits: Column) -> Column:
     """Whether a string of digits has a valid check digit."""
     d = F.transform(F.reverse(F.filter(F.split(digits, ""), lambda x: x != "")), lambda x, i: F.when(i % 2 == 0, x.cast("int")).otherwise(F.when(x.cast("int") > 4, x.cast("int") * 2 - 9).otherwise(x.cast("int") * 2)))
@@ -27,17 +36,28 @@ def luhn(digits: Column) -> Column:
 
 
 def redacted(c: Column) -> Column:
-    """Text with personal data replaced by marks of their kind."""
+    """Text with personal data replaced by marks of their kind; a text that can hold none passes at one look."""
+    done = c
     for kind, pattern in PII.items():
-        c = F.regexp_replace(c, pattern, f"⟨PII:{kind}⟩")
-    return c
+        mark = f"⟨PII:{kind}⟩"
+        if kind == "card":  # only numbers with a valid check digit
+            numbers = F.filter(F.array_distinct(F.regexp_extract_all(done, F.lit(pattern), F.lit(0))), luhn)
+            done = F.aggregate(numbers, done, lambda a, n: F.replace(a, n, F.lit("⟨PII:card⟩")))
+        else:
+            done = F.regexp_replace(done, pattern, mark)
+    return F.when(c.rlike(MAY_HOLD), done).otherwise(c)
 
 
 def pii_audit(docs: DataFrame, key: str, column: str) -> DataFrame:
-    """(``key``, kind, n, first_sha): how many of each kind a document holds and the hash of the least of them, for an audit table."""
-    parts = F.array(*(F.struct(F.lit(kind).alias("kind"), F.regexp_extract_all(column, F.lit(pattern), F.lit(0)).alias("hits")) for kind, pattern in PII.items()))
-    rows = docs.where(F.col(column).isNotNull()).select(key, F.inline(parts)).where(F.size("hits") > 0)
-    return rows.select(key, "kind", F.size("hits").cast("bigint").alias("n"), F.sha2(F.array_min("hits"), 256).alias("first_sha"))
+    """(``key``, kind, sha, n): the hash of each piece of personal data that a document holds, and how often, for an audit table."""
+
+    def hits(kind: str, pattern: str) -> Column:
+        found = F.regexp_extract_all(column, F.lit(pattern), F.lit(0))
+        return F.filter(found, luhn) if kind == "card" else found
+
+    parts = F.array(*(F.struct(F.lit(kind).alias("kind"), hits(kind, pattern).alias("hits")) for kind, pattern in PII.items()))
+    rows = docs.where(F.col(column).rlike(MAY_HOLD)).select(key, F.inline(parts)).where(F.size("hits") > 0)
+    return rows.select(key, "kind", F.explode("hits").alias("hit")).groupBy(key, "kind", F.sha2("hit", 256).alias("sha")).agg(F.count("*").alias("n"))
 
 
 def repeated_ngrams(c: Column, n: int = 5) -> Column:
@@ -84,8 +104,9 @@ def digit_share(c: Column) -> Column:
 def long_enough(lang: Column, chars: Column) -> Column:
     """Whether a text has its language's least number of characters."""
     least = F.lit(0)
+    named = F.split(F.lower(F.trim(lang)), "[-_]")[0]
     for code, n in LEAST_CHARS.items():
-        least = F.when(lang == code, n).otherwise(least)
+        least = F.when(named.isin(code, *NAMES[code]), n).otherwise(least)
     return F.coalesce(chars >= least, F.lit(False))
 
 

@@ -14,15 +14,23 @@ from docloom.functions.text import safe_ratio
 
 #: Names of the model's features per document and per sampled page.
 DOC_FEATURES = ("num_pages_successfully_sampled", "garbled_text_ratio", "is_form", "creator_or_producer_is_known_scanner")
-PAGE_FEATURES = tuple(
-    f"page_level_{name}"
-    for name in (
-        "unique_font_counts", "char_counts", "text_box_counts", "avg_text_box_lengths", "text_area_ratios",
-        "hidden_char_counts", "hidden_text_box_counts", "hidden_avg_text_box_lengths", "hidden_text_area_ratios",
-        "image_counts", "non_junk_image_counts", "bitmap_proportions", "max_merged_strip_areas",
-        "drawing_strokes_count", "vector_graphics_obj_count",
-    )
-)
+PAGE_FEATURES = (
+    "page_level_unique_font_counts",
+    "page_level_char_counts",
+    "page_level_text_box_counts",
+    "page_level_avg_text_box_lengths",
+    "page_level_text_area_ratios",
+    "page_level_hidden_char_counts",
+    "page_level_hidden_text_box_counts",
+    "page_level_hidden_avg_text_box_lengths",
+    "page_level_hidden_text_area_ratios",
+    "page_level_image_counts",
+    "page_level_non_junk_image_counts",
+    "page_level_bitmap_proportions",
+    "page_level_max_merged_strip_areas",
+    "page_level_drawing_strokes_count",
+    "page_level_vector_graphics_obj_count",
+)
 PAGES, SEED, JUNK_PAGES = 8, 42, 3
 
 

@@ -8,34 +8,46 @@ from pyspark.sql import functions as F
 from docloom.functions import geometry, text
 from docloom.schema import COMPLEX_TYPES
 
-#: Detector labels of each region type; any other label is text.
-LABELS = {
-    "image": ("figure", "image", "seal"),
-    "table": ("table",),
-    "formula": ("isolate_formula", "isolate formula", "formula", "equation"),
+#: Labels of the detector that is read as written, by region type; any other label is text.
+YOLO_LABELS = {
+    "figure": "image",
+    "Figure": "image",
+    "table": "table",
+    "Table": "table",
+    "isolate_formula": "formula",
+    "Isolate formula": "formula",
 }
-#: Labels that make no region; only as written here or capitalized.
-SKIPPED = ("abandon", "Abandon")
+#: Labels of the detector that is read in lower case, by region type; any other label is text.
+PP_LABELS = {
+    "figure": "image",
+    "image": "image",
+    "seal": "image",
+    "table": "table",
+    "formula": "formula",
+    "equation": "formula",
+}
+#: Labels of the first detector that make no region.
+YOLO_SKIPPED = ("abandon", "Abandon")
 #: Region types as a vision model names them.
 VISION_TYPES = {"formula": "equation"}
 
 
-def region_type(label: Column) -> Column:
-    """Type of a detector's label, whatever its case; NULL for labels to skip, text for unknown ones."""
-    found = F.lit("text")
-    for kind, labels in LABELS.items():
-        found = F.when(F.lower(label).isin(*labels), kind).otherwise(found)
-    return F.when(~label.isin(*SKIPPED) | label.isNull(), found)
+def region_type(label: Column, detector: str = "yolo") -> Column:
+    """Type of a detector's label, "yolo" as written, "pp" in lower case; NULL for labels to skip, text for unknown and missing ones."""
+    labels, seen, skipped = (YOLO_LABELS, label, YOLO_SKIPPED) if detector == "yolo" else (PP_LABELS, F.lower(label), ())
+    kinds = F.create_map(*(F.lit(x) for pair in labels.items() for x in pair))
+    kind = F.coalesce(F.try_element_at(kinds, seen), F.lit("text"))
+    return F.when(label.isNull() | ~label.isin(*skipped), kind) if skipped else kind
 
 
-def detected(detections: DataFrame, confidence: float = 0.25) -> DataFrame:
+def detected(detections: DataFrame, confidence: float = 0.25, detector: str = "yolo") -> DataFrame:
     """Regions from detections (sha256, page_index, label, confidence, bbox, det_index): typed, clamped, confident, in reading order.
 
     Order is by (y0, x0), ties by the detector's; region_id follows from it. Boxes that leave nothing on the page drop out.
     """
     order = Window.partitionBy("sha256", "page_index").orderBy("bbox.y0", "bbox.x0", "det_index")
     return (
-        detections.withColumn("type", region_type(F.col("label")))
+        detections.withColumn("type", region_type(F.col("label"), detector))
         .withColumn("bbox", geometry.clamped(F.col("bbox")))
         .where(F.col("type").isNotNull() & F.col("bbox").isNotNull() & (F.col("confidence") >= confidence))
         .withColumn("reading_order", F.row_number().over(order) - 1)
@@ -105,6 +117,12 @@ def flattened(layouts: DataFrame) -> DataFrame:
     return rows.select("sha256", "layout_model", "page_idx", "r.region_id", F.coalesce("r.type", F.lit("text")).alias("type"), box.alias("bbox"), F.coalesce("r.confidence", F.lit(0.0)).alias("confidence"), F.col("r.reading_order").alias("order"))
 
 
+def segment_index(segments: DataFrame) -> DataFrame:
+    """Segments with content, numbered from 0 within their document in order of page and index: ``emitted``."""
+    order = Window.partitionBy("sha256", "backend").orderBy("page_index", "seg_index", "seg_id")
+    return segments.where(text.strip(F.coalesce("content", F.lit(""))) != "").withColumn("emitted", (F.row_number().over(order) - 1).cast("bigint"))
+
+
 def zipped(regions: Column, results: Column) -> Column:
     """Pairs of regions and results by position, as far as both go."""
     n = F.least(F.size(regions), F.size(results))

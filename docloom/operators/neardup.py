@@ -14,7 +14,7 @@ from docloom.functions import text as texts
 from docloom.session import cut_lineage
 
 #: Words of a shingle, least similarity of shingle sets, hash functions and rows of a band.
-WORDS, SIMILARITY, HASHES, ROWS = 5, 0.8, 128, 4
+WORDS, SIMILARITY, HASHES, ROWS = 5, 0.85, 126, 6
 _PRIME = np.uint64((1 << 61) - 1)
 
 
@@ -69,8 +69,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     """One row per document with words: ``key``, class_id (the least ``key`` of its class), links, copies.
 
     Equal normalized texts are one text (``copies`` documents hold it); only different texts are paired. ``links`` is the
-    number of other texts at least ``similarity`` alike by the Jaccard index of their shingles. Bands of 4 of 128 hashes
-    miss a pair at 0.8 with probability below 1e-7. NULL, empty and blank texts give no row; repeated rows count once.
+    number of other texts at least ``similarity`` alike by the Jaccard index of their shingles. 21 bands of 6 hashes
+    miss a pair at 0.85 with probability below 1e-4. NULL, empty and blank texts give no row; repeated rows count once.
     """
     told = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), texts.normalize_text(F.col(text)).alias("x")).where("x <> ''")
     digest = F.xxhash64("x").alias("h1"), F.xxhash64(F.reverse("x")).alias("h2")

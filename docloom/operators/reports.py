@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text
 from docloom.operators import routing
-from docloom.schema import RESULT_TABLE
+from docloom.schema import BACKENDS, RESULT_TABLE
 
 
 def distinct_results(results: DataFrame) -> DataFrame:
@@ -47,9 +47,24 @@ def run_summary(results: DataFrame) -> DataFrame:
         F.count_if(routing.kept(F.col("error_class"), F.col("quality_score"))).alias("num_kept"),
         F.round(F.sum(score.cast("decimal(38,10)")), 6).cast("double").alias("sum_quality"),
         F.round((F.sum(score.cast("decimal(38,10)")) / F.count(score)).cast("double"), 6).alias("avg_quality"),
+        *(_counts_map(c).alias(n) for c, n in ((F.when(F.col("backend").isNotNull(), F.coalesce("extract_backend", "backend")), "by_backend"), (F.col("stage_b_backend"), "by_stage_b"))),
     )
 
 
+def _counts_map(value: Column) -> Column:
+    """Counts of the few values of a column of backends as a JSON object sorted by value, in the same aggregation; NULLs don't count."""
+    known = F.array(*(F.struct(F.lit(b).alias("k"), F.count_if(value == b).alias("n")) for b in sorted(BACKENDS)))
+    some = F.filter(known, lambda x: x["n"] > 0)
+    return F.concat(F.lit("{"), F.array_join(F.transform(some, lambda x: F.concat(F.lit('"'), x["k"], F.lit('":'), x["n"].cast("string"))), ","), F.lit("}"))
+
+
+def bench_summary(results: DataFrame) -> DataFrame:
+    """One row of a benchmark loop: documents, errors of router or extraction, scored ones and the counts by final backend."""
+    rows = distinct_results(results)
+    failed = F.col("router_error").isNotNull() | F.coalesce(F.col("error_class").startswith("extract"), F.lit(False))
+    return rows.agg(F.count("*").alias("num_pdfs"), F.count_if(failed).alias("num_errors"), F.count_if(F.col("quality_score").isNotNull() & ~F.isnan("quality_score")).alias("num_scored"), _counts_map(routing.effective_backend(F.col("stage_b_backend"), F.col("backend"))).alias("by_backend"))
+
+
 def counts_by(results: DataFrame, column: Column, name: str, skip_null: bool = False) -> DataFrame:
     rows = distinct_results(results).withColumn(name, column)
     return (rows.where(F.col(name).isNotNull()) if skip_null else rows).groupBy(name).agg(F.count("*").alias("n"))
@@ -143,9 +158,20 @@ def daily(results: DataFrame) -> DataFrame:
 
 
 def view_bundle(results: DataFrame) -> DataFrame:
-    """One row: the totals and histograms of a run as one JSON document; its rows stay a table."""
+    """One row: totals, distributions, histograms with their edges and percentiles of a run as one JSON document; its rows stay a table (``view_rows``)."""
     rows = distinct_results(results)
-    score = F.struct("bin", "n")
-    hist = lambda c, hi: histogram(rows, c, 0.0, hi).agg(F.transform(F.array_sort(F.collect_list(score)), lambda s: s["n"]).alias(c))
-    parts = [x.withColumn("one", F.lit(1)) for x in (run_summary(results), hist("ocr_prob", 1.0), hist("quality_score", 3.0))]
-    return parts[0].join(parts[1], "one", "left").join(parts[2], "one", "left").drop("one").select(F.to_json(F.struct("*")).alias("bundle"))
+    bins = F.array_sort(F.collect_list(F.struct("bin", "edge", "n")))
+    hist = lambda c, hi: histogram(rows, c, 0.0, hi).agg(F.transform(bins, lambda s: s["n"]).alias(f"hist_{c}"), F.transform(bins, lambda s: s["edge"]).alias(f"edges_{c}"))
+    spread = distributions(results).agg(F.array_sort(F.collect_list(F.struct("dimension", "value", "n"))).alias("distributions"))
+    chars = percentiles(rows, "markdown_chars").select(F.struct("*").alias("percentiles_chars"))
+    parts = [x.withColumn("one", F.lit(1)) for x in (run_summary(results), hist("ocr_prob", 1.0), hist("quality_score", 3.0), spread, chars)]
+    whole = parts[0]
+    for part in parts[1:]:  # one row each
+        whole = whole.join(part, "one", "left")
+    return whole.drop("one").select(F.to_json(F.struct("*")).alias("bundle"))
+
+
+def shown_flags() -> tuple[Column, Column]:
+    """What a demo shows of a routing: the garbled share above one percent, and the probability, 0 where it is missing or NaN."""
+    garbled = F.col("garbled_text_ratio")
+    return F.when(garbled > 0.01, garbled).alias("shown_garbled"), F.coalesce(text.known(F.col("ocr_prob")), F.lit(0.0)).alias("shown_prob")

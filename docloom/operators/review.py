@@ -68,3 +68,19 @@ def exported_labels(base: DataFrame) -> DataFrame:
     """One row: the number of labelled records and they as a JSON array in order of id."""
     rows = F.transform(F.array_sort(F.collect_list(F.struct("id", "label"))), lambda r: r)
     return base.where("label IS NOT NULL").agg(F.count("*").alias("total"), F.to_json(rows).alias("annotations"))
+
+
+def flag(sha256: str, *, is_bad: bool = True, stage: str | None = None, tags: list[str] | None = None, note: str | None = None, at: str, by: str = "") -> dict:
+    """A record to append to the log of bad cases; raises ValueError for what the log doesn't take."""
+    if not isinstance(sha256, str) or not sha256:
+        raise ValueError("sha256 must be a text that isn't empty")
+    if stage is not None and stage not in REVIEW_STAGES:
+        raise ValueError(f"unknown stage {stage!r}; there are {', '.join(REVIEW_STAGES)}")
+    if not all(isinstance(t, str) for t in tags or []):
+        raise ValueError("tags must be texts")
+    return {"sha256": sha256, "is_bad": is_bad, "stage": stage or "overall", "tags": list(tags or []), "note": (note or "")[:1000], "flagged_at": at, "flagged_by": by}
+
+
+def unflag(sha256: str, *, at: str, by: str = "") -> dict:
+    """The record that withdraws a flag; the log keeps what was before."""
+    return flag(sha256, is_bad=False, at=at, by=by)

@@ -11,7 +11,7 @@ from docloom.operators import review
 
 
 def pdf_files(spark: SparkSession, root: str, limit: int | None = None, with_content: bool = True) -> DataFrame:
-    """Records of all ``*.pdf`` below ``root`` by path: path, sha256, size_bytes, mime, discovered_at, content.
+    """Records of all ``*.pdf`` below ``root``, in no order: path, sha256, size_bytes, mime, discovered_at, content.
 
     The limit counts after the sort by path. Without content the listing reads no file and has no sha256.
     """
@@ -20,7 +20,7 @@ def pdf_files(spark: SparkSession, root: str, limit: int | None = None, with_con
     if limit is not None:
         first = files.select("path").orderBy("path").limit(limit)
         listed = listed.join(first, "path", "left_semi")
-    return listed.withColumn("sha256", F.sha2("content", 256) if with_content else F.lit(None).cast("string"))
+    return listed.withColumn("sha256", F.sha2("content", 256) if with_content else F.lit(None).cast("string"))  # unordered: a sort of whole files would move all bytes
 
 
 def bucket_listing(spark: SparkSession, root: str, suffix: str = ".pdf", most: int | None = None) -> DataFrame:

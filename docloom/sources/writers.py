@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text
 from docloom.operators import reports
+from docloom.schema import LAYOUT
+from docloom.session import cut_lineage, is_folder
 
 
 def publish(table: DataFrame, path: str, compression: str = "zstd") -> None:
@@ -30,10 +32,17 @@ def summary(results: DataFrame, path: str) -> None:
 
 
 def save_layouts(layouts: DataFrame, path: str) -> None:
-    """Layouts into the cache, one per key and model; keys of fewer than four characters raise."""
+    """Layouts into the cache, one per key and model, in the place of older ones; keys of fewer than four characters raise.
+
+    Only the partitions (model, shard) that new layouts fall into are read and written.
+    """
+    spark = layouts.sparkSession
     safe = F.when(F.length("sha256") >= 4, F.col("sha256")).otherwise(F.raise_error(F.concat(F.lit("content key too short: "), F.coalesce("sha256", F.lit("NULL")))))
-    rows = layouts.withColumn("sha256", safe).dropDuplicates(["sha256", "layout_model"]).withColumn("shard", text.shard(F.col("sha256")))
-    rows.write.mode("append").partitionBy("layout_model", "shard").parquet(path)
+    rows = layouts.withColumn("sha256", safe).dropDuplicates(["sha256", "layout_model"]).withColumn("shard", text.shard(F.col("sha256"))).select("sha256", "pages", "layout_model", "shard")
+    if is_folder(spark, path):
+        old = spark.read.schema(LAYOUT + ", shard string").parquet(path).join(rows.select("layout_model", "shard").distinct(), ["layout_model", "shard"], "left_semi")
+        rows = cut_lineage(rows.unionByName(old.join(rows.select("sha256", "layout_model"), ["sha256", "layout_model"], "left_anti").select(*rows.columns)))
+    rows.repartition("layout_model", "shard").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("layout_model", "shard").parquet(path)
 
 
 def append_log(records: DataFrame, path: str) -> None:
