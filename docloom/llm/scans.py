@@ -193,6 +193,8 @@ class Pages:
         home = words.home
         forms = sorted({_form_pattern(f) for f in headers})
         self.own = {skeleton(w): w for form in headers for w in _WORD.findall(form)}
+        #: A fixed word of each form: prose without any of these has no header inside.
+        self.fixed = re.compile("|".join(re.escape(w) for w in sorted({max(_WORD.findall(f.replace("@", " ")), key=len) for f in headers}, key=len, reverse=True)) or "(?!)")
         self.inline = re.compile("(?<!\\S)(?:" + "|".join(forms) + ")(?!\\S)" if forms else "(?!)")
         self.line = re.compile(rf"(?:{_N}\s+)?(?:{'|'.join(forms)})(?:\s+{_N})?" if forms else "(?!)")
         self.homes = _Memo(lambda raw: home.get(bare(raw).lower(), "" if bare(raw) and not bare(raw).isdigit() else None))
@@ -272,7 +274,8 @@ class Pages:
             found.append(("divided", prose[-12:], ""))
         if first and len(found) > before:
             return kept
-        found.extend(("header", m[0], "") for m in self.inline.finditer(prose))
+        if self.fixed.search(prose):
+            found.extend(("header", m[0], "") for m in self.inline.finditer(prose))
         counts, part = self.words.counts[lang], self.words.part[lang]
         if len(kept) > 1:
             found.extend(("divided", m[0], m[1] + m[2]) for m in _DIVIDED.finditer(prose))
@@ -471,27 +474,42 @@ def word_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
     return parts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def _contexts(texts: list[str], labels: list[str | None], words: Words, bares: _Memo, skeletons: _Memo, sums: Counter) -> None:
-    """Add up the neighbours, by their skeletons, of contested forms and, side by side, of the words that they may be misread from."""
-    mates = words.mates_of
-    for label, t in zip(labels, texts, strict=True):
+class _Contexts:
+    """Counts the neighbours, by their skeletons, of contested forms; of the words that they may be misread from it notes each neighbour of a side once a task."""
+
+    #: Notes beyond so many are forgotten, and so may be made again.
+    MOST = 1_000_000
+
+    def __init__(self, words: Words):
+        self.words = words
+        self.roles = {lang: _Memo(lambda raw, lang=lang: self._role(raw, lang)) for lang, forms in words.contested.items() if forms}
+        self.near = _Memo(lambda raw: skeleton(bare(raw)) or None)
+        self.noted: set = set()
+
+    def _role(self, raw: str, lang: str) -> tuple[str, str] | None:
+        w = bare(raw).lower()
+        return ("form", w) if w in self.words.contested[lang] else ("mate", w) if w in self.words.mates_of[lang] else None
+
+    def add(self, text: str, label: str | None, sums: Counter) -> None:
         lang = code(label) or ""
-        forms, others = words.contested.get(lang), mates.get(lang)
-        if not forms:
-            continue
-        raw = t.split()
-        own = [bares[x].lower() for x in raw]
-        for i, w in enumerate(own):
-            if w in forms:
-                a, b = own[i - 1] if i else "", own[i + 1] if i + 1 < len(own) else ""
+        roles = self.roles.get(lang)
+        if roles is None:
+            return
+        raw, near, noted = text.split(), self.near, self.noted
+        if len(noted) > self.MOST:
+            noted.clear()
+        for i, role in enumerate(map(roles.__getitem__, raw)):
+            if role is None:
+                continue
+            a, b = near[raw[i - 1]] if i else None, near[raw[i + 1]] if i + 1 < len(raw) else None
+            if role[0] == "form":
                 if a or b:
-                    sums["form", lang, w, skeletons[a] if a else None, skeletons[b] if b else None] += 1
-            elif w in others:
-                a, b = own[i - 1] if i else "", own[i + 1] if i + 1 < len(own) else ""
-                if a:
-                    sums["mate", lang, w, skeletons[a], None] += 1
-                if b:
-                    sums["mate", lang, w, None, skeletons[b]] += 1
+                    sums["form", lang, role[1], a, b] += 1
+                continue
+            for key in ((lang, role[1], a, None), (lang, role[1], None, b)):
+                if (key[2] or key[3]) and key not in noted:
+                    noted.add(key)
+                    sums["mate", *key] += 1
 
 
 def lines_and_contexts(docs: DataFrame, text: str, lang: str, source: str, words) -> DataFrame:
@@ -499,11 +517,12 @@ def lines_and_contexts(docs: DataFrame, text: str, lang: str, source: str, words
 
     def make():
         model = words.value
-        known, bares, skeletons = model.literal, _Memo(bare), _Memo(skeleton)
+        known, contexts = model.literal, _Contexts(model)
 
         def f(keys, texts):
             seen, alone = Counter(), Counter()
-            for own, t in zip(keys[1], texts, strict=True):
+            for label, own, t in zip(*keys, texts, strict=True):
+                contexts.add(t, label, seen)
                 seen["record", own or "", "", None, None] += 1
                 for line, by_itself in _alone(t):
                     m = mask(line, known)
@@ -511,7 +530,6 @@ def lines_and_contexts(docs: DataFrame, text: str, lang: str, source: str, words
                         k = "line", own or "", m, None, None
                         seen[k] += 1
                         alone[k] += by_itself
-            _contexts(texts, keys[0], model, bares, skeletons, seen)
             names = ("kind", "of", "what", "a", "b")
             return {n: [k[i] for k in seen] for i, n in enumerate(names)} | {"n": list(seen.values()), "alone": [alone[k] for k in seen]}
 
