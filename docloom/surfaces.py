@@ -22,14 +22,14 @@ def _spans(spark, d):
     return s.select(F.col("sha256").alias("doc"), F.col("page_index").alias("page"), F.col("seg_type").alias("font"), F.col("content").alias("text"), F.when(F.col("seg_index") % 5 == 4, 3).otherwise(0).alias("type"), F.lit(1.0).alias("opacity"), geometry.width(F.col("bbox")).alias("width"), geometry.height(F.col("bbox")).alias("height"), F.lit(1.0).alias("page_width"), F.lit(1.0).alias("page_height"))
 
 
-_PART = "coalesce(sum(length(content)) FILTER (WHERE %(w)s), 0)::BIGINT %(p)schar_counts, count(*) FILTER (WHERE %(w)s) %(p)stext_box_counts, round(coalesce(sum(a) FILTER (WHERE %(w)s) / nullif(count(*) FILTER (WHERE %(w)s), 0), 0), 6)::DOUBLE %(p)savg_text_box_lengths, round(coalesce(sum(a) FILTER (WHERE %(w)s), 0), 6)::DOUBLE %(p)stext_area_ratios"
+_PART = "coalesce(sum(length(content)) FILTER (WHERE %(w)s), 0)::BIGINT %(p)schar_counts, count(*) FILTER (WHERE %(w)s) %(p)stext_box_counts, round(coalesce(sum(a) FILTER (WHERE %(w)s) / nullif(count(*) FILTER (WHERE %(w)s), 0), 0), 11)::DOUBLE %(p)savg_text_box_lengths, round(coalesce(sum(a) FILTER (WHERE %(w)s), 0), 11)::DOUBLE %(p)stext_area_ratios"
 
 
 @query(_SEGMENTS + ", b AS (SELECT *, (bbox.x1 - bbox.x0) * (bbox.y1 - bbox.y0) a FROM s WHERE bbox IS NOT NULL AND content IS NOT NULL) SELECT sha256 doc, page_index page, count(DISTINCT seg_type) unique_font_counts, " + _PART % {"w": "seg_index % 5 <> 4", "p": ""} + ", " + _PART % {"w": "seg_index % 5 = 4", "p": "hidden_"} + " FROM b GROUP BY 1, 2")
 def page_text_features(spark, d):
     rows = features.text_features(_spans(spark, d))
     rounded = [c for c in rows.columns if c.endswith(("lengths", "ratios"))]
-    return rows.select(*(F.round(c, 6).alias(c) if c in rounded else c for c in rows.columns))
+    return rows.select(*(F.round(c, 11).alias(c) if c in rounded else c for c in rows.columns))
 
 
 def _images(spark, d):
