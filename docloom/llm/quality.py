@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from docloom.llm.batches import map_texts
 from docloom.llm.languages import code
+from docloom.session import cut_lineage
 
 #: Longer texts are measured in chunks of about so many characters, which meet again in groups of FAN.
 CHUNK, FAN = 64_000, 16
@@ -248,7 +249,8 @@ def common_words(docs: DataFrame, text: str, lang: str, source: str) -> frozense
 
     have = [F.col(c).cast("string").alias(n) if c in docs.columns else F.lit(None).cast("string").alias(n) for c, n in ((lang, "label"), (source, "own"))]
     rows = docs.where(F.col(text).isNotNull()).select(*have, F.col(text).alias("whole"))
-    counts = map_texts(rows, ["label", "own"], "whole", "group string, word string, n bigint", make).groupBy("group", "word").agg(F.sum("n").alias("n"))
+    # used twice, read and counted once
+    counts = cut_lineage(map_texts(rows, ["label", "own"], "whole", "group string, word string, n bigint", make).groupBy("group", "word").agg(F.sum("n").alias("n")))
     totals = counts.groupBy("group").agg(F.max(F.when(F.col("word") == "", F.col("n"))).alias("records"))
     most = F.greatest(F.lit(MOST_LEAST), F.col("records") * MOST_SHARE)
     least = F.when(F.col("group").startswith(FROM), most).otherwise(F.least(most, F.greatest(F.lit(COMMON_LEAST), F.col("records") * COMMON_SHARE)))
@@ -258,8 +260,8 @@ def common_words(docs: DataFrame, text: str, lang: str, source: str) -> frozense
 NUMBERS = ("chars", "words", "letters", "symbols", "lines", "ended_lines", "long_words", "common_words", "foreign", "list_lines", "table_lines", "heading_lines", "prose_lines", "sentences")
 
 
-def _partials(docs: DataFrame, key: str, text: str, common) -> DataFrame:
-    """(k, h, chunk, pieces, state): the chunks of huge texts are dealt out, each once, before they are measured; ``h`` tells texts of one key apart."""
+def _partials(docs: DataFrame, key: str, text: str, common) -> tuple[DataFrame, DataFrame]:
+    """(k, h, chunk, pieces, state) of whole texts and of the chunks of huge ones, which are dealt out, each once, before they are measured; ``h`` tells texts of one key apart."""
 
     def split():
         def f(keys, texts):
@@ -289,7 +291,7 @@ def _partials(docs: DataFrame, key: str, text: str, common) -> DataFrame:
     single = rows.where(small).select("k", "h", F.lit(0).cast("bigint").alias("chunk"), F.lit(1).cast("bigint").alias("pieces"), F.lit("").alias("before"), F.lit("").alias("after"), "piece")
     huge = map_texts(rows.where(~small), ["k", "h"], "piece", "k bigint, h bigint, chunk bigint, pieces bigint, before string, piece string, after string", split).repartition("k", "h", "chunk")
     keys = ["k", "h", "chunk", "pieces", "before", "after"]
-    return map_texts(single, keys, "piece", schema, make).unionByName(map_texts(huge, keys, "piece", schema, make).dropDuplicates(["k", "h", "chunk"]))
+    return map_texts(single, keys, "piece", schema, make), map_texts(huge, keys, "piece", schema, make).dropDuplicates(["k", "h", "chunk"])
 
 
 def statistics(docs: DataFrame, key: str = "ext_id", text: str = "markdown", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -302,7 +304,7 @@ def statistics(docs: DataFrame, key: str = "ext_id", text: str = "markdown", lan
     of common words.
     """
     common = docs.sparkSession.sparkContext.broadcast(common_words(docs, text, lang, source))
-    parts = _partials(docs.where(F.col(key).isNotNull()), key, text, common)
+    whole, chunks = _partials(docs.where(F.col(key).isNotNull()), key, text, common)
 
     def merged(rows: pa.Table) -> pa.Table:
         order = rows.sort_by("chunk").to_pylist()
@@ -312,10 +314,9 @@ def statistics(docs: DataFrame, key: str = "ext_id", text: str = "markdown", lan
         first = order[0]
         return pa.table({n: [first[n]] for n in ("k", "h", "chunk", "pieces")} | {"state": [pickle.dumps(states[0])]}, schema=pa.schema([*((n, pa.int64()) for n in ("k", "h", "chunk", "pieces")), ("state", pa.binary())]))
 
-    many = parts.where("pieces > 1")
     schema = "k bigint, h bigint, chunk bigint, pieces bigint, state binary"
-    tier = many.groupBy("k", "h", F.floor(F.col("chunk") / FAN)).applyInArrow(merged, schema).groupBy("k", "h").applyInArrow(merged, schema)
-    states = parts.where("pieces = 1").select("k", "state").unionByName(tier.select("k", "state"))
+    tier = chunks.groupBy("k", "h", F.floor(F.col("chunk") / FAN)).applyInArrow(merged, schema).groupBy("k", "h").applyInArrow(merged, schema)
+    states = whole.select("k", "state").unionByName(tier.select("k", "state"))
 
     def finish(batches):
         for batch in batches:

@@ -652,3 +652,19 @@ def test_sentences_garbled_after_a_right_beginning(models):
     reader._mend([piece], bits, sizes)
     assert bits[0].min() / sizes[0] < 0.75 * before
     assert models.languages[int(bits[0].argmin())] == "ru"
+
+
+def test_each_text_is_measured_once(spark):
+    """Texts are read once for the common words and once each for the whole and the huge ones, not again to tell these apart."""
+    texts = ["The house by the river is old. " * 3, "one two\n" * 20_000, "x" * (quality.CHUNK + 1), None]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    plain = spark.createDataFrame(list(enumerate(texts)), "ext_id bigint, markdown string")
+    got = {r.ext_id: r for r in quality.statistics(plain.mapInArrow(counted, plain.schema)).collect()}
+    assert read.value <= 3 * len(texts)
+    assert [got[i].words for i in range(4)] == [21, 40_000, 1, 0] and [got[i].chars for i in range(4)] == [len(t or "") for t in texts]
